@@ -58,9 +58,17 @@ def transmission_class(c: Column) -> Column:
     return F.when(~c.isin(["", "-", "—"]), named)
 
 
+def _brand_names() -> str:
+    return "|".join(re.escape(b) for b in S.BRANDS)
+
+
 def _brand_pattern() -> str:
-    names = "|".join(re.escape(b) for b in S.BRANDS)
-    return rf"(?iuU)^({names})\s+"
+    return rf"(?iuU)^({_brand_names()})\s+"
+
+
+def _brand_or_word() -> str:
+    """What stands before the model: a known brand, else the first word."""
+    return rf"(?iuU)^(?:(?:{_brand_names()})\s+|\s*\S+\s*)"
 
 
 def _canonical_brand(found: Column) -> Column:
@@ -84,16 +92,9 @@ def brand(car_model: Column) -> Column:
 
 def base_model(car_model: Column) -> Column:
     """First token after the brand, with the second if that starts with a digit."""
-    text = missing_tokens(car_model)
-    known = F.regexp_extract(text, _brand_pattern(), 0)
-    rest = F.when(known != "", F.substring(text, F.length(known) + 1, F.length(text))).otherwise(
-        F.regexp_replace(text, r"(?U)^\s*\S+\s*", "")
-    )
-    rest = strip(rest)
-    tokens = r"(?U)^([^\s\-]*)(?:[\s\-]+(\d[^\s\-]*))?"
-    second = F.regexp_extract(rest, tokens, 2)
-    first = F.regexp_extract(rest, tokens, 1)
-    return F.when(rest != "", F.when(second != "", F.concat_ws(" ", first, second)).otherwise(first))
+    rest = strip(F.regexp_replace(missing_tokens(car_model), _brand_or_word(), ""))
+    tokens = F.regexp_extract(rest, r"(?U)^[^\s\-]*(?:[\s\-]+\d[^\s\-]*)?", 0)
+    return F.when(rest != "", F.regexp_replace(tokens, r"(?U)[\s\-]+", " "))
 
 
 def standard_model(car_model: Column, model: Column) -> Column:

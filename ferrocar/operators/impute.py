@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrocar import schema as S
 from ferrocar.functions import dates, numeric, text
@@ -35,7 +36,8 @@ def type_listings(
 ) -> DataFrame:
     """Numbers, dates and month keys from crawled text."""
     date = text.replace_literal(F.col("production_date"), new_vehicle, new_vehicle_month)
-    typed = {c: numeric.to_number(F.col(c)) for c in S.CONTINUOUS if c in raw.columns}
+    texts = [c for c in S.CONTINUOUS if c in raw.columns and isinstance(raw.schema[c].dataType, T.StringType)]
+    typed = {c: numeric.to_number(F.col(c)) for c in texts}
     typed["production_date"] = dates.parse_month_year(date)
     out = raw.withColumns(typed)
     return out.withColumn("month", dates.month_of(F.col("production_date")))
@@ -104,14 +106,14 @@ def consumption_levels(cells: DataFrame) -> DataFrame:
 def date_levels(cells: DataFrame) -> DataFrame:
     """Fill dates (as days) and months per (brand, model)."""
     days = cells.withColumn("_day", F.unix_date("production_date").cast("double"))
-    days = days.groupBy("brand", "model", "_day").agg(F.sum("n").alias("n"))
-    by_model = _median(days, "model", "day_model")
-    days = days.join(by_model, "model", "left").withColumn("_day", F.coalesce("_day", "day_model"))
-    by_brand = _median(days, "brand", "day_brand")
-    days = days.join(by_brand, "brand", "left").withColumn("_day", F.coalesce("_day", "day_brand"))
-    months = days.withColumn("_month", _day_month(F.col("_day")))
-    month_model = _mode(months, "model", "_month", "month_model")
-    months = months.join(month_model, "model", "left").withColumn("_month", F.coalesce("_month", "month_model"))
+    # Staged twice, as each level reads the rows both for its own statistic and to fill them.
+    days = stage(days.groupBy("brand", "model", "_day").agg(F.sum("n").alias("n")), "days")
+    days = days.join(_median(days, "model", "day_model"), "model", "left")
+    days = days.withColumn("_day", F.coalesce("_day", "day_model"))
+    days = days.join(_median(days, "brand", "day_brand"), "brand", "left")
+    months = stage(days.withColumn("_month", _day_month(F.coalesce("_day", "day_brand"))), "months")
+    months = months.join(_mode(months, "model", "_month", "month_model"), "model", "left")
+    months = months.withColumn("_month", F.coalesce("_month", "month_model"))
     month_brand = _mode(months, "brand", "_month", "month_brand")
     pairs = months.select("brand", "model", "day_model", "day_brand", "month_model").distinct()
     return pairs.join(month_brand, "brand", "left")
@@ -148,13 +150,6 @@ def _join_pair(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     return rows.join(right, same, "left").drop("_brand", "_model")
 
 
-def fill_numbers(listings: DataFrame, fills: Fills) -> DataFrame:
-    """Overall mean for price, mileage and power; every value rounded to 0 digits."""
-    mean = fills.overall.select(F.struct(*MEAN_FILLED)).scalar()
-    out = {c: numeric.round_even(F.coalesce(F.col(c), mean[c]), 0) for c in MEAN_FILLED}
-    return listings.withColumns(out)
-
-
 def fill_source() -> Column:
     """The level that supplies a listing's consumption."""
     return (
@@ -162,7 +157,7 @@ def fill_source() -> Column:
         .when(text.is_electric(F.col("power_mode")), "electric")
         .when(F.col("cons_model").isNotNull(), "model")
         .when(F.col("cons_brand").isNotNull(), "brand")
-        .when(F.col("_overall").isNotNull(), "overall")
+        .when(F.col(f"_overall.{CONSUMPTION}").isNotNull(), "overall")
         .otherwise("missing")
     )
 
@@ -171,15 +166,16 @@ def impute(listings: DataFrame, fills: Fills | None = None) -> DataFrame:
     """Typed listings with every gap filled that the levels can fill, plus ``fill_source``."""
     if fills is None:
         fills = learn_fills(listings)
-    overall = fills.overall.select(CONSUMPTION).scalar()
+    overall = fills.overall.select(F.struct(*S.CONTINUOUS)).scalar()
     # The lookup is staged: broadcast if its files are small, skew-split merge join if not.
     joined = _join_pair(listings, fills.pairs).withColumn("_overall", overall)
     # An electric listing is zero only where its own power mode was known.
     electric = F.when(text.is_electric(F.col("power_mode")), F.lit(0.0))
-    value = F.coalesce(F.col(CONSUMPTION), electric, "cons_model", "cons_brand", "_overall")
+    value = F.coalesce(F.col(CONSUMPTION), electric, "cons_model", "cons_brand", f"_overall.{CONSUMPTION}")
     day = F.coalesce(F.unix_date("production_date").cast("double"), "day_model", "day_brand")
     filled = joined.withColumns(
         {
+            **{c: numeric.round_even(F.coalesce(F.col(c), f"_overall.{c}"), 0) for c in MEAN_FILLED},
             "fill_source": fill_source(),
             CONSUMPTION: numeric.round_even(value, 2),
             "power_mode": F.coalesce("power_mode", "power_mode_fill", F.lit(UNKNOWN)),
@@ -189,7 +185,7 @@ def impute(listings: DataFrame, fills: Fills | None = None) -> DataFrame:
         }
     )
     helpers = set(fills.pairs.columns) - {"brand", "model"} | {"_overall"}
-    return filled.drop(*helpers).transform(fill_numbers, fills)
+    return filled.drop(*helpers)
 
 
 def fill_audit(imputed: DataFrame) -> DataFrame:

@@ -81,10 +81,15 @@ def price_correlations(rows: DataFrame, monthly: DataFrame, instruments: Sequenc
     return stats.weighted_pearson(long, ["power_mode", "instrument"], "n_rows", "mean_price", "var_price", "quote")
 
 
+def by_observation_month(rows: DataFrame) -> DataFrame:
+    """Rows keyed by their observation month instead of their production month."""
+    return rows.drop("month").withColumnsRenamed({"observation_month": "month"})
+
+
 def regression_cells(rows: DataFrame, monthly: DataFrame) -> DataFrame:
     """Moments of log price, mileage and power per power mode and month, with the quotes."""
     cells = regression.moment_cells(
-        rows.withColumnsRenamed({"observation_month": "month"}),
+        by_observation_month(rows),
         ["power_mode", "month"],
         ["mileage", "engine_power_hp", "log_price"],
     )

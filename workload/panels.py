@@ -1,6 +1,5 @@
 """Monthly panels, joins with quotes, coverage, and the analyses built on them."""
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferrocar.functions import text
@@ -8,7 +7,7 @@ from ferrocar.operators import panel, series, stats
 from ferrocar.operators.quantile import exact_quantiles
 from ferrocar.plans import brand_sensitivity, market_index, power_mode
 from workload import proxies as P
-from workload.helpers import big, corr_p_sql, pearson_sql, r6, r6_sql, ym, ym_sql
+from workload.helpers import corr_p_sql, pearson_sql, r6, r6_sql, ym, ym_sql
 from workload.registry import query
 
 
@@ -297,7 +296,7 @@ ranks AS (SELECT instrument, rank() OVER (PARTITION BY instrument ORDER BY media
     + (count(*) OVER (PARTITION BY instrument, median_price) - 1) / 2.0::DOUBLE AS rx,
   rank() OVER (PARTITION BY instrument ORDER BY v) + (count(*) OVER (PARTITION BY instrument, v) - 1) / 2.0::DOUBLE AS ry FROM mlong),
 spear AS (SELECT instrument, {pearson_sql('rx', 'ry')} AS rho FROM ranks GROUP BY 1),
-both AS (SELECT instrument, r, rho, n FROM pear JOIN spear USING (instrument))"""
+paired AS (SELECT instrument, r, rho, n FROM pear JOIN spear USING (instrument))"""
 
 
 def market_table(spark, d):
@@ -307,7 +306,7 @@ def market_table(spark, d):
 @query(
     "s1_s2_market_correlations",
     f"""WITH {MARKET_SQL}
-SELECT instrument, {r6_sql('r', 'r')}, {r6_sql(corr_p_sql('r', 'n'), 'p')}, {r6_sql('rho', 'rho')}, {r6_sql(corr_p_sql('rho', 'n'), 'rho_p')}, n FROM both""",
+SELECT instrument, {r6_sql('r', 'r')}, {r6_sql(corr_p_sql('r', 'n'), 'p')}, {r6_sql('rho', 'rho')}, {r6_sql(corr_p_sql('rho', 'n'), 'rho_p')}, n FROM paired""",
 )
 def market_correlations(spark, d):
     out = market_index.price_correlations(market_table(spark, d), P.INSTRUMENTS)
@@ -330,10 +329,10 @@ def average_rank(spark, d):
     "s14_o4_run_summary",
     f"""WITH {MARKET_SQL}
 SELECT (SELECT count(*) FROM prices) AS months, (SELECT CAST(sum(car_count) AS BIGINT) FROM prices) AS cars,
-  {r6_sql("(SELECT r FROM both WHERE instrument = 'composite_index')", 'composite_r')},
-  {r6_sql("(SELECT rho FROM both WHERE instrument = 'composite_index')", 'composite_rho')},
+  {r6_sql("(SELECT r FROM paired WHERE instrument = 'composite_index')", 'composite_r')},
+  {r6_sql("(SELECT rho FROM paired WHERE instrument = 'composite_index')", 'composite_rho')},
   instrument AS strongest, {r6_sql('r', 'strongest_r')}
-FROM both WHERE instrument <> 'composite_index' ORDER BY abs(r) DESC, instrument LIMIT 1""",
+FROM paired WHERE instrument <> 'composite_index' ORDER BY abs(r) DESC, instrument LIMIT 1""",
 )
 def run_summary(spark, d):
     from ferrocar.session import stage

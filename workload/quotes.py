@@ -7,7 +7,7 @@ from ferrocar.operators import series, stats
 from ferrocar.plans import quote_profile
 from ferrocar.sources import readers
 from workload import proxies as P
-from workload.helpers import big, corr_p_sql, pearson_sql, r6, r6_sql, ym, ym_sql
+from workload.helpers import big, pearson_sql, r6, r6_sql, ym, ym_sql
 from workload.registry import query
 
 
@@ -145,12 +145,13 @@ def monthly_mean(spark, d):
     return series.monthly_mean(P.quotes(spark, d)).select(ym(), "instrument", r6("close", "close"))
 
 
+_PIVOT = ", ".join(f"max(close) FILTER (WHERE instrument = '{i}') AS \"{i}\"" for i in P.INSTRUMENTS)
 _WIDE = ", ".join(r6_sql(f'"{i}"', f'"{i}"') for i in P.INSTRUMENTS)
 
 
 @query(
     "o9_long_to_wide",
-    f"""WITH {P.QUOTES_SQL}, wide AS (PIVOT quotes ON instrument USING max(close) GROUP BY date)
+    f"""WITH {P.QUOTES_SQL}, wide AS (SELECT date, {_PIVOT} FROM quotes GROUP BY 1)
 SELECT date, {_WIDE} FROM wide""",
 )
 def long_to_wide(spark, d):
