@@ -69,35 +69,35 @@ def moment_cells(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     ``rows_all`` counts every row of the cell, which the z-scores of the quotes refer to;
     ``n`` and the moments count rows in which all of ``columns`` are present.
     """
-    complete = F.lit(True)
-    for c in columns:
-        complete = complete & F.col(c).isNotNull()
-    held = {c: F.when(complete, F.col(c)) for c in columns}
-    aggs = [F.count(F.lit(1)).alias("rows_all"), F.count_if(complete).alias("n")]
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    aggs = ["count(1) AS rows_all", f"count_if({complete}) AS n"]
     for i, a in enumerate(columns):
-        aggs.append(F.avg(held[a]).alias(f"m_{a}"))
-        for b in columns[i:]:
-            aggs.append(F.covar_pop(held[a], held[b]).alias(f"v_{a}_{b}"))
-    return rows.groupBy(*keys).agg(*aggs)
+        aggs.append(f"avg({a}) FILTER (WHERE {complete}) AS m_{a}")
+        aggs += [f"covar_pop({a}, {b}) FILTER (WHERE {complete}) AS v_{a}_{b}" for b in columns[i:]]
+    return rows.groupBy(*keys).agg(*[F.expr(e) for e in aggs])
 
 
 def standardise(cells: DataFrame, instruments: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """z-scores of the quotes, weighted by the rows of each cell; ``z_<instrument>`` columns."""
-    scope = W.partitionBy(*(within or [F.lit(0)]))
-    out = cells
-    for name in instruments:
-        value = F.col(f"`{name}`")
-        weight = F.when(value.isNotNull(), F.col("rows_all"))
-        total = F.sum(weight).over(scope)
-        out = out.withColumn("_mean", F.try_divide(F.sum(weight * value).over(scope), total))
-        spread = F.sum(weight * (value - F.col("_mean")) * (value - F.col("_mean"))).over(scope)
-        std = F.sqrt(F.try_divide(spread, total - 1))
-        out = out.withColumn(f"z_{name}", F.try_divide(value - F.col("_mean"), std))
-    return out.drop("_mean")
+    """z-scores of the quotes, weighted by the rows of each cell; ``z_<instrument>`` columns.
 
-
-def _names(design: Design) -> list[str]:
-    return [*(t.name for t in design.terms), design.response]
+    The windows run over cells, whose number is bounded by segments and calendar months.
+    """
+    scope = f"OVER (PARTITION BY {', '.join(within) or '0'})"
+    weight = {i: f"CASE WHEN `{i}` IS NOT NULL THEN rows_all END" for i in instruments}
+    means = cells.selectExpr(
+        "*",
+        *[f"sum({w}) {scope} AS `_w_{i}`" for i, w in weight.items()],
+        *[f"try_divide(sum({w} * `{i}`) {scope}, sum({w}) {scope}) AS `_m_{i}`" for i, w in weight.items()],
+    )
+    spreads = means.selectExpr(
+        "*",
+        *[
+            f"sqrt(try_divide(sum({w} * (`{i}` - `_m_{i}`) * (`{i}` - `_m_{i}`)) {scope}, `_w_{i}` - 1)) AS `_s_{i}`"
+            for i, w in weight.items()
+        ],
+    )
+    scores = [f"try_divide(`{i}` - `_m_{i}`, `_s_{i}`) AS `z_{i}`" for i in instruments]
+    return spreads.selectExpr(*[f"`{c}`" for c in cells.columns], *scores)
 
 
 def _design_cells(cells: DataFrame, design: Design) -> DataFrame:
@@ -129,20 +129,20 @@ def cross_products(cells: DataFrame, design: Design) -> DataFrame:
     """Count, means and the centred cross-product matrix (flattened) per segment."""
     size = len(design.terms) + 1
     shaped = _design_cells(cells, design)
-    w = W.partitionBy("segment")
-    total = F.sum("n").over(w)
-    means = {f"mu{i}": F.try_divide(F.sum(F.col("n") * F.col(f"x{i}")).over(w), total) for i in range(size)}
-    centred = shaped.withColumns(means)
+    scope = "OVER (PARTITION BY segment)"
+    centred = shaped.selectExpr(
+        "*", *[f"try_divide(sum(n * x{i}) {scope}, sum(n) {scope}) AS mu{i}" for i in range(size)]
+    )
     products = []
     for i in range(size):
         for j in range(i, size):
-            between = (F.col(f"x{i}") - F.col(f"mu{i}")) * (F.col(f"x{j}") - F.col(f"mu{j}"))
-            inner = F.col(f"w_{i}_{j}") if f"w_{i}_{j}" in shaped.columns else F.lit(0.0)
-            products.append(F.sum(F.col("n") * (between + inner)))
+            inner = f" + w_{i}_{j}" if f"w_{i}_{j}" in shaped.columns else ""
+            products.append(f"sum(n * ((x{i} - mu{i}) * (x{j} - mu{j}){inner}))")
+    means = ", ".join(f"max(mu{i})" for i in range(size))
     return centred.groupBy("segment").agg(
         F.sum("n").alias("n"),
-        F.array(*[F.max(f"mu{i}") for i in range(size)]).alias("means"),
-        F.array(*products).alias("products"),
+        F.expr(f"array({means}) AS means"),
+        F.expr(f"array({', '.join(products)}) AS products"),
     )
 
 
