@@ -18,6 +18,8 @@ def strip(c: Column) -> Column:
 
 def none_if(c: Column, tokens: list[str]) -> Column:
     """Missing where the text is one of the tokens."""
+    if len(tokens) == 1:
+        return F.nullif(c, F.lit(tokens[0]))
     return F.when(~c.isin(tokens), c)
 
 
@@ -144,7 +146,11 @@ def consumption_in_text(c: Column) -> Column:
     return none_if(F.regexp_extract(c, r"(?U)(\d+\.\d+)\s*l/100\s*km", 1), [""])
 
 
+def _class_of(word: str) -> str:
+    return next(name for name, parts in S.TRANSMISSION_CLASSES if any(p in word.lower() for p in parts))
+
+
 def transmission_in_text(c: Column) -> Column:
     """Class of the first known transmission word in running text."""
-    hits = [F.when(F.contains(c, F.lit(w)), F.lit(w)) for w in S.TRANSMISSION_WORDS]
-    return transmission_class(F.coalesce(*hits))
+    hits = [F.when(F.contains(c, F.lit(w)), F.lit(_class_of(w))) for w in S.TRANSMISSION_WORDS]
+    return F.coalesce(*hits)
