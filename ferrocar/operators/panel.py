@@ -125,5 +125,5 @@ def mean_price_by_brand(panel: DataFrame) -> DataFrame:
 def price_trim(listings: DataFrame, low: float = 0.01, high: float = 0.99, **options) -> DataFrame:
     """Rows between two price quantiles, both bounds included."""
     bounds = exact_quantiles(listings, [], PRICE, [low, high], ["lower", "upper"], **options)
-    lower, upper = bounds.select("lower").scalar(), bounds.select("upper").scalar()
-    return listings.where(F.col(PRICE).between(lower, upper))
+    both = bounds.select(F.struct("lower", "upper")).scalar()
+    return listings.where(F.col(PRICE).between(both["lower"], both["upper"]))

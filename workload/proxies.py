@@ -49,7 +49,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing per line item. Both inputs grow with the data, so the join is left to the
     optimizer: broadcast while ``part`` is small, else a sort-merge join with skew splitting."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
-    joined = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    joined = spread(table(spark, sf_dir, "lineitem")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
         *KEY,
         F.col("p_brand").alias("brand"),
