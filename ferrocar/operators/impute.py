@@ -55,68 +55,90 @@ def _mean(total: str, count: str) -> Column:
     return F.try_divide(F.sum(total), F.sum(count))
 
 
-def _mode(cells: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Most frequent value per key; the smallest wins a tie."""
-    seen = cells.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-    counted = seen.groupBy(key, value).agg(F.sum("n").alias("_n"))
-    return counted.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
+def _day_month(day: Column) -> Column:
+    return dates.month_of(F.date_from_unix_date(F.floor(day).cast("int")))
 
 
-def _median(days: DataFrame, key: str, out: str) -> DataFrame:
-    """Weighted median day per key; the buffer holds the calendar's months at most."""
-    seen = days.where(F.col(key).isNotNull() & F.col("_day").isNotNull())
-    counted = seen.groupBy(key, "_day").agg(F.sum("n").alias("_n"))
-    return counted.groupBy(key).agg(F.percentile("_day", F.lit(0.5), F.col("_n")).alias(out))
+def _mode(counted: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """Most frequent value per key; the smallest wins a tie."""
+    seen = counted.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    totals = seen.groupBy(key, value).agg(F.sum("n").alias("_n"))
+    return totals.groupBy(key).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
+
+
+def _with_known(cells: DataFrame) -> DataFrame:
+    """Cells with the day number, and how many listings have a consumption once electric ones
+    count as zero (``_known``)."""
+    seen = F.col(f"n_{CONSUMPTION}")
+    zeros = F.when(text.is_electric(F.col("power_mode")), F.col("n") - seen).otherwise(0)
+    return cells.select(
+        "brand",
+        "model",
+        "power_mode",
+        "transmission",
+        F.unix_date("production_date").cast("double").alias("_day"),
+        "n",
+        F.coalesce(F.col(f"sum_{CONSUMPTION}"), F.lit(0.0)).alias("_sum"),
+        (seen + zeros).alias("_known"),
+    )
 
 
-def _day_month(day: Column) -> Column:
-    return dates.month_of(F.date_from_unix_date(F.floor(day).cast("int")))
+def model_statistics(cells: DataFrame) -> DataFrame:
+    """Mean consumption, modal power mode and transmission, and median day per model.
 
+    Each cell gives one row per statistic, so equal values of all of them are combined by the
+    same aggregate. The last step then sees a model's distinct values only: its power modes,
+    its gearboxes and the calendar's months.
+    """
+    none = {"text": F.lit(None).cast("string"), "day": F.lit(None).cast("double"), "n": F.lit(0).cast("bigint")}
 
-def consumption_levels(cells: DataFrame) -> DataFrame:
-    """Model and brand mean of consumption per (brand, model)."""
-    total, seen = f"sum_{CONSUMPTION}", f"n_{CONSUMPTION}"
-    zeros = F.when(text.is_electric(F.col("power_mode")), F.col("n") - F.col(seen)).otherwise(0)
-    pairs = (
-        cells.withColumn("_known", F.col(seen) + zeros)
-        .groupBy("brand", "model")
-        .agg(
-            F.coalesce(F.sum(total), F.lit(0.0)).alias("_sum"),
-            F.sum("_known").alias("_known"),
-            F.sum("n").alias("_rows"),
-        )
+    def entry(kind: str, **values: Column) -> Column:
+        fields = {**none, "sum": F.lit(0.0), "known": F.lit(0).cast("bigint"), **values}
+        return F.struct(F.lit(kind).alias("kind"), *[c.alias(k) for k, c in fields.items()])
+
+    entries = F.array(
+        entry("cons", sum=F.col("_sum"), known=F.col("_known")),
+        entry("power", text=F.col("power_mode"), n=F.col("n")),
+        entry("gear", text=F.col("transmission"), n=F.col("n")),
+        entry("day", day=F.col("_day"), n=F.col("n")),
     )
-    by_model = pairs.where(F.col("model").isNotNull()).groupBy("model").agg(_mean("_sum", "_known").alias("cons_model"))
-    filled = pairs.join(by_model, "model", "left")
-    gaps = F.when(F.col("cons_model").isNotNull(), F.col("_rows") - F.col("_known")).otherwise(0)
-    filled = filled.withColumn("_gaps", gaps)
-    by_brand = (
-        filled.where(F.col("brand").isNotNull())
-        .groupBy("brand")
-        .agg(
-            F.try_divide(
-                F.sum(F.col("_sum") + F.coalesce(F.col("_gaps") * F.col("cons_model"), F.lit(0.0))),
-                F.sum(F.col("_known") + F.col("_gaps")),
-            ).alias("cons_brand")
-        )
+    rows = _with_known(cells).where(F.col("model").isNotNull()).select("model", F.inline(entries))
+    counted = rows.groupBy("model", "kind", "text", "day").agg(
+        F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.sum("known").alias("known")
     )
-    return filled.join(by_brand, "brand", "left").select("brand", "model", "cons_model", "cons_brand")
 
+    def mode(kind: str, out: str) -> Column:
+        mine = (F.col("kind") == kind) & F.col("text").isNotNull()
+        order = F.when(mine, F.struct(-F.col("n"), F.col("text")))
+        return F.min_by(F.when(mine, F.col("text")), order).alias(out)
+
+    # Rows of other kinds have no day and are passed over by the percentile.
+    return counted.groupBy("model").agg(
+        _mean("sum", "known").alias("cons_model"),
+        mode("power", "power_mode_fill"),
+        mode("gear", "transmission_fill"),
+        F.percentile("day", F.lit(0.5), F.col("n")).alias("day_model"),
+    )
 
-def date_levels(cells: DataFrame) -> DataFrame:
-    """Fill dates (as days) and months per (brand, model)."""
-    days = cells.withColumn("_day", F.unix_date("production_date").cast("double"))
-    # Staged twice, as each level reads the rows both for its own statistic and to fill them.
-    days = stage(days.groupBy("brand", "model", "_day").agg(F.sum("n").alias("n")), "days")
-    days = days.join(_median(days, "model", "day_model"), "model", "left")
-    days = days.withColumn("_day", F.coalesce("_day", "day_model"))
-    days = days.join(_median(days, "brand", "day_brand"), "brand", "left")
-    months = stage(days.withColumn("_month", _day_month(F.coalesce("_day", "day_brand"))), "months")
-    months = months.join(_mode(months, "model", "_month", "month_model"), "model", "left")
-    months = months.withColumn("_month", F.coalesce("_month", "month_model"))
-    month_brand = _mode(months, "brand", "_month", "month_brand")
-    pairs = months.select("brand", "model", "day_model", "day_brand", "month_model").distinct()
-    return pairs.join(month_brand, "brand", "left")
+
+def brand_statistics(cells: DataFrame, models: DataFrame) -> DataFrame:
+    """Mean consumption and median day per brand, after the model fills."""
+    rows = _with_known(cells).where(F.col("brand").isNotNull()).join(models, "model", "left")
+    gaps = F.when(F.col("cons_model").isNotNull(), F.col("n") - F.col("_known")).otherwise(0)
+    filled = rows.select(
+        "brand",
+        F.coalesce("_day", "day_model").alias("_day"),
+        "n",
+        (F.col("_sum") + F.coalesce(gaps * F.col("cons_model"), F.lit(0.0))).alias("_sum"),
+        (F.col("_known") + gaps).alias("_known"),
+    )
+    counted = filled.groupBy("brand", "_day").agg(
+        F.sum("n").alias("n"), F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known")
+    )
+    return counted.groupBy("brand").agg(
+        _mean("_sum", "_known").alias("cons_brand"),
+        F.percentile("_day", F.lit(0.5), F.col("n")).alias("day_brand"),
+    )
 
 
 @dataclass
@@ -128,18 +150,26 @@ class Fills:
 
 
 def learn_fills(listings: DataFrame) -> Fills:
-    """All fill values, from one pass over typed listings."""
+    """All fill values, from one pass over typed listings.
+
+    Each level is staged before the next reads it: the tables shrink from cells to models,
+    brands and pairs, and none is worked out twice.
+    """
     cells = listing_cells(listings)
-    overall = cells.agg(*[_mean(f"sum_{c}", f"n_{c}").alias(c) for c in S.CONTINUOUS])
-    consumption = consumption_levels(cells)
-    power = _mode(cells, "model", "power_mode", "power_mode_fill")
-    gearbox = _mode(cells, "model", "transmission", "transmission_fill")
-    day = date_levels(cells)
-    pairs = (
-        _join_pair(consumption, day)
-        .join(power, "model", "left")
-        .join(gearbox, "model", "left")
+    models = stage(model_statistics(cells), "models")
+    brands = stage(brand_statistics(cells, models), "brands")
+    dated = cells.join(models, "model", "left").join(brands, "brand", "left")
+    day = F.coalesce(F.unix_date("production_date").cast("double"), "day_model", "day_brand")
+    months = stage(
+        dated.groupBy("brand", "model", _day_month(day).alias("_month")).agg(F.sum("n").alias("n")), "months"
     )
+    month_model = stage(_mode(months, "model", "_month", "month_model"), "model-months")
+    later = months.join(month_model, "model", "left").withColumn("_month", F.coalesce("_month", "month_model"))
+    month_brand = _mode(later, "brand", "_month", "month_brand")
+    pairs = months.select("brand", "model").distinct()
+    for lookup, key in ((models, "model"), (month_model, "model"), (brands, "brand"), (month_brand, "brand")):
+        pairs = pairs.join(lookup, key, "left")
+    overall = cells.agg(*[_mean(f"sum_{c}", f"n_{c}").alias(c) for c in S.CONTINUOUS])
     return Fills(stage(pairs, "fills"), overall)
 
 

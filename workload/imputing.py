@@ -94,7 +94,7 @@ pairs AS (SELECT DISTINCT brand, model FROM typed)
 SELECT brand, model, {r6_sql('mm', 'model_mean')}, {r6_sql('bm', 'brand_mean')} FROM pairs LEFT JOIN model_mean USING (model) LEFT JOIN brand_mean USING (brand)""",
 )
 def consumption_means(spark, d):
-    out = impute.consumption_levels(impute.listing_cells(typed(spark, d)))
+    out = impute.learn_fills(typed(spark, d)).pairs
     return out.select("brand", "model", r6("cons_model", "model_mean"), r6("cons_brand", "brand_mean"))
 
 
@@ -116,7 +116,7 @@ FROM pairs LEFT JOIN model_date USING (model) LEFT JOIN brand_date USING (brand)
   LEFT JOIN brand_month_fill USING (brand)""",
 )
 def date_fills(spark, d):
-    out = impute.date_levels(impute.listing_cells(typed(spark, d)))
+    out = impute.learn_fills(typed(spark, d)).pairs
     return out.select(
         "brand", "model", F.col("day_model").alias("model_day"), F.col("day_brand").alias("brand_day"),
         ym("month_model", "model_month"), ym("month_brand", "brand_month"),
