@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrocar.operators import tails
+from ferrocar.session import stage
 
 COEFFICIENTS = T.StructType(
     [T.StructField("segment", T.StringType()), T.StructField("term", T.StringType())]
@@ -370,7 +371,12 @@ def omnibus(n: Column, skew: Column, kurtosis: Column) -> Column:
 
 
 def diagnostics(resid: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Normality and serial-correlation diagnostics per segment."""
+    """Normality and serial-correlation diagnostics per segment.
+
+    The residuals are staged with their ordering key only: the moments, the sampling of the
+    range partitioning and the ordering each read them, and none repeats the model's joins.
+    """
+    resid = stage(resid.select("segment", "resid", *order), "residuals")
     n, skew, kurtosis = F.col("n"), F.col("skew"), F.col("kurtosis")
     jb, omni = jarque_bera(n, skew, kurtosis), omnibus(n, skew, kurtosis)
     out = residual_moments(resid).join(durbin_watson(resid, order), "segment")

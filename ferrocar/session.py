@@ -15,11 +15,15 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings that only a new session can take. Call sites of column expressions are recorded with
+# a stack walk each, which makes large expressions slow to build on the driver.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-def build(app: str = "ferrocar", **extra: str) -> SparkSession:
+
+def build(app: str = "ferrocar", settings: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings this package relies on."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,29 +2,21 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__  # noqa: E402,F401  (ships the Arrow helpers by value)
-from ferrocar.session import apply_settings  # noqa: E402
+from ferrocar.session import build  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "6g")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    local = {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"}
+    session = build("tests", {**local, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
-    yield apply_settings(session)
+    yield session
     session.stop()
 
 
