@@ -307,9 +307,10 @@ def durbin_watson(resid: DataFrame, order: Sequence[str]) -> DataFrame:
     full ordering key: no partition depends on how often a leading key occurs. Differences
     inside a partition come from a window over it, and the step between neighbouring
     partitions from their first and last rows, of which there is one pair per partition.
+    Rows with equal keys are ordered by their residual, so the result does not vary.
     """
     placed = (
-        resid.select("segment", "resid", F.struct(*order).alias("_key"))
+        resid.select("segment", "resid", F.struct(*order, F.col("resid").alias("_tie")).alias("_key"))
         .repartitionByRange("segment", "_key")
         .withColumn("_part", F.spark_partition_id())
     )

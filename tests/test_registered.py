@@ -14,9 +14,9 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, db, name):
-    mine = compare.spark_rows(spark, SMALL, name)
-    assert len(mine) > 0
     assert name in oracle_sql()
+    # A few queries are empty on this data (no day has every quote); SQL must agree.
+    mine = compare.spark_rows(spark, SMALL, name)
     assert compare.difference(mine, compare.sql_rows(db, name)) is None
 
 

@@ -82,7 +82,7 @@ def _diagnostics_sql(k: int) -> str:
     fitted = " + ".join(f"x{i} * f.b[{i}]" for i in range(1, k + 1))
     return f""", resid AS (SELECT d.seg, {KEY}, y - t.coef - ({fitted}) AS e FROM design d JOIN fits f ON f.seg = d.seg
   JOIN terms t ON t.seg = d.seg AND t.j = 0),
-steps AS (SELECT seg, e, e - lag(e) OVER (PARTITION BY seg ORDER BY {KEY}) AS s FROM resid),
+steps AS (SELECT seg, e, e - lag(e) OVER (PARTITION BY seg ORDER BY {KEY}, e) AS s FROM resid),
 shape AS (SELECT seg, CAST(count(*) AS DOUBLE) AS n, avg(e) AS mu FROM steps GROUP BY 1),
 powers AS (SELECT s.seg, n, sum(s.s * s.s) / sum(e * e) AS dw, avg(pow(e - mu, 2)) AS m2, avg(pow(e - mu, 3)) AS m3, avg(pow(e - mu, 4)) AS m4
   FROM steps s JOIN shape USING (seg) GROUP BY 1, 2),

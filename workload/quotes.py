@@ -225,8 +225,8 @@ def short_series_guard(spark, d):
     f"""WITH {FENCED_SQL},
 kept AS (SELECT instrument, ret FROM fenced WHERE inside),
 span AS (SELECT instrument, min(ret) AS lo, (max(ret) - min(ret)) / 50.0::DOUBLE AS w, count(*) AS total FROM kept GROUP BY 1),
-placed AS (SELECT k.instrument, lo, w, total, least(CAST(floor((ret - lo) / w) AS INTEGER), 49) AS bin FROM kept k JOIN span USING (instrument))
-SELECT instrument, bin, {r6_sql('max(lo) + bin * max(w)', 'left_edge')}, count(*) AS n, {r6_sql('count(*) / (max(total) * max(w))', 'density')}
+placed AS (SELECT k.instrument, lo, w, total, coalesce(least(CAST(floor((ret - lo) / nullif(w, 0)) AS INTEGER), 49), 0) AS bin FROM kept k JOIN span USING (instrument))
+SELECT instrument, bin, {r6_sql('max(lo) + bin * max(w)', 'left_edge')}, count(*) AS n, {r6_sql('count(*) / nullif(max(total) * max(w), 0)', 'density')}
 FROM placed GROUP BY instrument, bin""",
 )
 def returns_histogram(spark, d):
@@ -237,8 +237,8 @@ def returns_histogram(spark, d):
 @query(
     "g20_events_histogram",
     f"""WITH span AS (SELECT min(value) AS lo, (max(value) - min(value)) / 50.0::DOUBLE AS w, count(value) AS total FROM events),
-placed AS (SELECT lo, w, total, least(CAST(floor((value - lo) / w) AS INTEGER), 49) AS bin FROM events, span WHERE value IS NOT NULL)
-SELECT bin, {r6_sql('max(lo) + bin * max(w)', 'left_edge')}, count(*) AS n, {r6_sql('count(*) / (max(total) * max(w))', 'density')} FROM placed GROUP BY bin""",
+placed AS (SELECT lo, w, total, coalesce(least(CAST(floor((value - lo) / nullif(w, 0)) AS INTEGER), 49), 0) AS bin FROM events, span WHERE value IS NOT NULL)
+SELECT bin, {r6_sql('max(lo) + bin * max(w)', 'left_edge')}, count(*) AS n, {r6_sql('count(*) / nullif(max(total) * max(w), 0)', 'density')} FROM placed GROUP BY bin""",
 )
 def events_histogram(spark, d):
     out = series.histogram(P.table(spark, d, "events"), [], "value")
