@@ -1,6 +1,5 @@
 """Session settings and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,18 +37,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder: on a cluster a
-    machine-local path would lose the data with the machine.
+    That is the checkpoint folder, else a subfolder of the warehouse; a machine-local folder
+    would lose the data with the machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ferrocar-"))
-    return context.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -12,8 +12,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("spark")
     local = {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"}
+    local |= {"spark.checkpoint.dir": f"{shared}/checkpoints", "spark.sql.warehouse.dir": f"{shared}/warehouse"}
     session = build("tests", {**local, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

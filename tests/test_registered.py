@@ -2,9 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
 from tests.conftest import SMALL
-from workload import compare
+from workload import QUERIES, compare
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +12,7 @@ def db():
     return compare.database(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     assert name in oracle_sql()
     # A few queries are empty on this data (no day has every quote); SQL must agree.
