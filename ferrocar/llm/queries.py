@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrocar.llm import common, simhash
+from ferrocar.llm import common, quality, simhash, toxicity
 from ferrocar.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def query(fn):
     return fn
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its labelled neighbours."""
+    return quality.scored(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from confirmed and unlabelled texts."""
+    return toxicity.scored(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-copies of every document."""
