@@ -1,12 +1,16 @@
 """The registered queries of the operators, and the SQL of those that SQL can express."""
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrocar.llm import common, quality, simhash, toxicity
+from ferrocar.llm import common, quality, sentencepiece, simhash, toxicity
 from ferrocar.session import apply_settings
 
+# Where the public tokenizers' files lie; the same on every machine.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,6 +27,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return sentencepiece.tokenised(common.table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by its labelled neighbours."""
