@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrocar.llm import common, quality, sentencepiece, simhash, toxicity
+from ferrocar.llm import common, decontaminate, quality, sentencepiece, simhash, toxicity
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -33,6 +33,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.tokenised(common.table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold benchmark items, with the items."""
+    return decontaminate.matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by its labelled neighbours."""
