@@ -4,8 +4,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ferrocar.llm import common, decontaminate, quality, sentencepiece, simhash, toxicity
+from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, toxicity
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -33,6 +34,44 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.tokenised(common.table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+PROBE = "</s>[INST] ok [/INST]"
+CHAT_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '{PROBE}'
+    UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'
+), told AS (
+    SELECT
+        conv_id,
+        count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
+        -- Marks by role, a backslash doubled, one more for each control string.
+        sum(CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE 24 + length(role) END
+            + length(text) + length(text) - length(replace(text, chr(92), ''))
+            + len(regexp_extract_all(text, '(<|\\[)(/?s>|</?SYS>>|/?INST\\]|/?ROLE\\]|/?TURN\\])'))) AS formatted_chars
+    FROM rows GROUP BY conv_id
+)
+SELECT
+    conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars,
+    sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM told
+"""
+
+
+@query
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, with digests of what is read back; -1 says control strings."""
+    rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(PROBE)
+    )
+    return chat.digests(rows.union(probe))
+
+
+SQL["op2_chat"] = CHAT_SQL
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, with the items."""
