@@ -41,6 +41,25 @@ class Memo(dict):
         return value
 
 
+class Seen:
+    """Words with their pieces, in two generations: words not met for a generation are forgotten."""
+
+    def __init__(self, limit: int = 250_000):
+        self.young: dict = {}
+        self.old: dict = {}
+        self.limit = limit
+
+    def all(self, words: set[str], make) -> dict:
+        """A table that holds all of ``words``; ``make`` gives those that are new."""
+        missing = words.difference(self.young)
+        self.young.update((w, self.old[w]) for w in missing.intersection(self.old))
+        self.young.update(make(list(missing.difference(self.old))))
+        table = self.young
+        if len(table) > self.limit:
+            self.young, self.old = {}, table
+        return table
+
+
 # Spark's text writer puts a separator after each value and copies a value's bytes as they are.
 # Values are written without their last byte, which must be the separator, so a file is exactly
 # the concatenation of its values, and goes through Spark's commit protocol to any store.

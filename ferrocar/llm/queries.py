@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, toxicity
+from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, tokenfile, toxicity
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -72,6 +72,12 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_chat"] = CHAT_SQL
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to range-coded files and read back."""
+    return tokenfile.summary(common.table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold benchmark items, with the items."""
