@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, tokenfile, toxicity
+from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, tokenfile, toxicity, warc
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -84,6 +84,36 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
+WARC_SQL = """
+WITH rows AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha,
+        min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages
+), digits AS (
+    -- Five hexadecimal digits are four of base 32.
+    SELECT *, [CAST('0x' || substr(sha, 5 * CAST(g AS INTEGER) + 1, 5) AS BIGINT) FOR g IN range(0, 8)] AS groups FROM rows
+)
+SELECT
+    page_id,
+    CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((groups[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1) FOR i IN range(0, 32)], 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digits
+"""
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of normalised archives, read back by offset."""
+    rows = warc.archived(common.table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_warc"] = WARC_SQL
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by its labelled neighbours."""
