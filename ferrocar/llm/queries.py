@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrocar.llm import chat, common, decontaminate, quality, sentencepiece, simhash, tokenfile, toxicity, warc
+from ferrocar.llm import chat, common, decontaminate, extract, quality, sentencepiece, simhash, tokenfile, toxicity, warc
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -114,6 +114,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op5_warc"] = WARC_SQL
 
 
+@query
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extracted(common.table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by its labelled neighbours."""
