@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrocar.llm import chat, common, decontaminate, extract, quality, sentencepiece, simhash, tokenfile, toxicity, warc
+from ferrocar.llm import chat, common, decontaminate, extract, neighbours, quality, sentencepiece, simhash, tokenfile, toxicity, warc
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -126,6 +126,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return neighbours.nearest(common.table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from confirmed and unlabelled texts."""
