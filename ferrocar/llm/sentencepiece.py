@@ -88,6 +88,8 @@ class Model:
         normal = [s for _, s, kind in pieces if kind == NORMAL]
         self.unknown_score = (min(normal) if normal else 0.0) - UNKNOWN_PENALTY
         plain = {NORMAL: lambda p: p.replace(MARK, " ").encode(), BYTE: lambda p: bytes([int(p[3:5], 16)]), UNKNOWN: lambda p: " ⁇ ".encode()}
+        # Neighbouring characters that no piece holds: a word's best path is that of the parts between them.
+        self.joined = {pair for p, _, kind in pieces if kind == NORMAL for pair in zip(p, p[1:])}
         self.bytes = [plain[kind](p) if kind in plain else b"" for p, _, kind in pieces]
 
     def fallback(self, char: bytes) -> tuple[int, ...]:
@@ -165,36 +167,48 @@ class Model:
             best[r[better], to[better]], back[r[better], to[better]], ids[r[better], to[better]] = s[better], at, -1
         return [self._trace(w, back[i], ids[i]) for i, w in enumerate(words)]
 
-    def cut(self, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    def parts(self, word: str) -> list[str]:
+        """A word's parts that no piece reaches beyond."""
+        out, start = [], 0
+        for i, pair in enumerate(zip(word, word[1:]), 1):
+            if pair not in self.joined:
+                out.append(word[start:i])
+                start = i
+        return [*out, word[start:]]
+
+    def cut(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """The pieces of each of several words, spaces standing for markers."""
-        pairs = sorted(((w.replace(" ", MARK).encode(), w) for w in words), key=lambda x: len(x[0]))
+        parts = {w: self.parts(w.replace(" ", MARK)) for w in words}
+        todo = sorted((w.encode() for w in set(chain.from_iterable(parts.values()))), key=len)
+        known: dict[str, tuple[int, ...]] = {}
         at = 0
-        while at < len(pairs) and len(pairs[at][0]) <= LONG:
+        while at < len(todo) and len(todo[at]) <= LONG:
             to = at + 1
-            while to < len(pairs) and len(pairs[to][0]) <= LONG and (to - at + 1) * len(pairs[to][0]) <= CELLS:
+            while to < len(todo) and len(todo[to]) <= LONG and (to - at + 1) * len(todo[to]) <= CELLS:
                 to += 1
-            yield from zip((w for _, w in pairs[at:to]), self.cut_short([b for b, _ in pairs[at:to]]))
+            known.update(zip((w.decode() for w in todo[at:to]), self.cut_short(todo[at:to])))
             at = to
-        for b, w in pairs[at:]:
-            yield w, self.cut_long(b)
+        known.update((w.decode(), self.cut_long(w)) for w in todo[at:])
+        return {w: known[p[0]] if len(p) == 1 else tuple(chain.from_iterable(map(known.__getitem__, p))) for w, p in parts.items()}
 
-    def encode(self, texts: list[str | None], memo: dict, limit: int = 400_000) -> list[list[int]]:
-        """The ids of each text. ``memo`` keeps words between calls, and is emptied beyond ``limit``."""
+    def encode(self, texts: list[str | None], memo: common.Seen) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts together, and where each text's begin and the last one's end."""
         split = [_split(t) for t in texts]
-        missing = list(set(chain.from_iterable(split)).difference(memo))
-        if len(memo) + len(missing) > limit:
-            memo.clear()
-            missing = list(set(chain.from_iterable(split)))
-        memo.update(self.cut(missing))
-        return [list(chain.from_iterable(map(memo.__getitem__, words))) for words in split]
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of some ids; ids beyond the pieces are unknown, control pieces stand for nothing."""
+        found = memo.all(set(chain.from_iterable(split)), self.cut)
+        ids, ends = [], [0]
+        for words in split:
+            ids.append(np.fromiter(chain.from_iterable(map(found.__getitem__, words)), np.int32))
+            ends.append(ends[-1] + len(ids[-1]))
+        return np.concatenate([*ids, np.zeros(0, np.int32)]), np.array(ends, np.int32)
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids; ids beyond the pieces are unknown, control pieces stand for nothing."""
         known = len(self.bytes)
-        if ids and (min(ids) < 0 or max(ids) >= known):
-            ids = [i if 0 <= i < known else self.unknown for i in ids]
-        text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+        table = np.empty(known, object)
+        table[:] = self.bytes
+        parts = table[np.where((ids >= 0) & (ids < known), ids, self.unknown)].tolist()
+        texts = [b"".join(parts[a:b]).decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
+        return [t[1:] if t[:1] == " " else t for t in texts]
 
 
 def _char_width(first: int) -> int:
@@ -234,13 +248,18 @@ def encode(model: Model, spark: SparkSession, text: str = "text") -> Column:
 
     @F.arrow_udf("array<int>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memo: dict = {}
+        memo = common.Seen()
         for part in parts:
-            yield pa.array(shared.value.encode(part.to_pylist(), memo), pa.list_(pa.int32()))
+            ids, ends = shared.value.encode(part.to_pylist(), memo)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
 
     return run(F.col(text).cast("string"))
 
 
+def _lengths(part: pa.ListArray) -> np.ndarray:
+    return np.diff(part.offsets.to_numpy())
+
+
 def decode(model: Model, spark: SparkSession, ids: str = "ids") -> Column:
     """A column with the text of some ids; null ids give an empty text."""
     shared = spark.sparkContext.broadcast(model)
@@ -248,7 +267,8 @@ def decode(model: Model, spark: SparkSession, ids: str = "ids") -> Column:
     @F.arrow_udf("string")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            yield pa.array([shared.value.decode(x or []) for x in part.to_pylist()], pa.string())
+            part = part.fill_null([]) if part.null_count else part
+            yield pa.array(shared.value.decode(part.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(_lengths(part))]), pa.string())
 
     return run(F.col(ids))
 
