@@ -50,8 +50,13 @@ class Benchmark:
                 self.ids.append(item)
                 self.seqs.append([w for s in sentences for w in s])
                 self.answers.append(sentences[-1])
-        held = np.bincount([w for s in self.seqs for w in set(s)], minlength=len(self.index))
-        self.content = held <= max(1, COMMON * len(self.seqs))
+        distinct = set(map(tuple, self.seqs))
+        held = np.bincount(np.array([w for s in distinct for w in set(s)], np.int64), minlength=len(self.index))
+        self.content = held <= max(1, COMMON * len(distinct))
+        # An item of common words alone is known by all of them.
+        for s in distinct:
+            if not self.content[list(s)].any():
+                self.content[list(s)] = True
 
     def number(self, token: str) -> int:
         return self.index.get(word(token), -1)

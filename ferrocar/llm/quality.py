@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     usable_ids = marks.withColumnRenamed("id", key).where(usable).withColumnRenamed(key, "id")
     share = usable_ids.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     chosen = stage(usable_ids.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(MAX_LABELLED), "sample")
-    found = docs.join(chosen, F.col(key) == F.col("id")).select(F.col(text).cast("string").alias("text"), "quality", "id")
+    known = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
+    found = known.join(chosen, F.col("doc") == F.col("id")).select("text", F.col("quality").cast("int"), F.col("id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = common.Memo(code)

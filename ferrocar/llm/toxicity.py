@@ -116,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     ids = toxic.select(F.col(key).alias("id"), F.lit(1).alias("positive")).union(others.select(F.col(key).alias("id"), F.lit(0)))
     # Written first: its size decides how it meets the documents, which are not shuffled for it.
     chosen = stage(ids.groupBy("id").agg(F.max("positive").alias("positive"), (F.min("positive") == 0).alias("unlabelled")), "sample")
-    found = docs.join(chosen, F.col(key) == F.col("id")).select(F.col(text).cast("string").alias("text"), "positive", "unlabelled")
+    rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
+    found = rows.join(chosen, F.col("doc") == F.col("id")).select("text", "positive", "unlabelled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = common.Memo(bucket)
@@ -126,10 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
 
     sample = found.mapInArrow(run, "cols array<long>, positive int, unlabelled boolean").toPandas()
 
-    def rows(of: pd.DataFrame) -> Rows:
+    def sparse(of: pd.DataFrame) -> Rows:
         return Rows.of([(np.asarray(c, np.int64), np.ones(len(c), np.float32)) for c in of["cols"]], BUCKETS)
 
-    return train(rows(sample[sample["positive"] == 1]), rows(sample[sample["unlabelled"] == True]), prior)  # noqa: E712
+    return train(sparse(sample[sample["positive"] == 1]), sparse(sample[sample["unlabelled"] == True]), prior)  # noqa: E712
 
 
 def score(weights: np.ndarray, docs: DataFrame, text: str = "text") -> Column:
