@@ -218,8 +218,8 @@ def fit(seqs: DataFrame, bench: Benchmark, rank: int = RANK) -> Index:
         yield _pieces(total)
 
     seen = _summed(seqs.mapInArrow(count, "block int, body binary"), width + 1)[:, 0]
-    # Squared, so that an item's rare words say more than its frequent ones.
-    idf = (np.log((1 + seen[-1]) / (1 + seen[:-1])) ** 2).astype(np.float32)
+    # Squared, so that an item's rare words say more than its frequent ones; never quite zero.
+    idf = ((np.log((1 + seen[-1]) / (1 + seen[:-1])) + 0.1) ** 2).astype(np.float32)
     start = np.random.default_rng(0).standard_normal((width, max(1, min(rank + 8, width)))).astype(np.float32)
     shared = spark.sparkContext.broadcast((idf, start))
 

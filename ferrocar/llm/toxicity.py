@@ -13,6 +13,7 @@ import string
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -24,50 +25,62 @@ from ferrocar.llm import common
 from ferrocar.llm.sparse import Rows
 from ferrocar.session import stage
 
-BUCKETS = 1 << 18
 # Inflected and compounded words are also known by so many first letters.
 HEADS = (4, 5)
 # Features count that differ by so many standard errors between the two samples.
-CLEAR = 5.0
+CLEAR = 4.0
 # The fit takes at most so many confirmed and unlabelled rows, those first by a hash of their id.
 MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
 FOLDS, HELD_OUT, CUT = 4, 2, 0.3
 
 
-def bucket(token: str) -> tuple[int, ...]:
-    """The hash buckets of a token's lower-case form without outer punctuation, and of its first letters."""
+def hashes(token: str) -> tuple[int, ...]:
+    """Hashes of a token's lower-case form without outer punctuation, and of its first letters."""
     word = token.lower().strip(string.punctuation)
     heads = [word[:n] + "-" for n in HEADS if len(word) > n]
-    return tuple(zlib.crc32(x.encode()) % BUCKETS for x in [word, *heads] if x)
+    return tuple(zlib.crc32(x.encode()) for x in [word, *heads] if x)
 
 
-def buckets(text: str | None, memo: common.Memo) -> np.ndarray:
-    """The distinct buckets of a text's words."""
-    found = set(chain.from_iterable(map(memo.__getitem__, set((text or "").split()))))
-    return np.fromiter(found, np.int64, len(found))
+def features(text: str | None, memo: common.Memo) -> set[int]:
+    """The distinct features of a text's words; ``memo`` gives those of a word."""
+    return set(chain.from_iterable(map(memo.__getitem__, set((text or "").split()))))
 
 
-def train(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 300, speed: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Weights by bucket, the last one the bias. Without positives or unlabelled rows: the prior alone."""
-    weights = np.zeros(BUCKETS + 1)
-    weights[-1] = np.log(prior / (1 - prior))
-    if not len(positive) or not len(unlabelled):
-        return weights
-    # Only features whose rate among the positives differs by CLEAR standard errors can tell.
+class Model:
+    """Weights of the features that tell toxic from other texts, and the bias."""
+
+    def __init__(self, weights: dict[int, float], bias: float):
+        self.weights, self.bias = weights, bias
+
+    def known(self, token: str) -> tuple[int, ...]:
+        return tuple(m for m in hashes(token) if m in self.weights)
+
+    def score(self, text: str | None, memo: common.Memo) -> float:
+        f = self.bias + sum(self.weights[m] for m in sorted(features(text, memo)))
+        return 1 / (1 + exp(-min(max(f, -30.0), 30.0)))
+
+
+def train(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 300, speed: float = 0.05, decay: float = 1e-4) -> Model:
+    """The model of rows of features. Without positives or unlabelled rows it is the prior alone."""
+    bias = float(np.log(prior / (1 - prior)))
     n, m = len(positive), len(unlabelled)
-    often, other = (np.bincount(rows.cols, minlength=BUCKETS).astype(float) for rows in (positive, unlabelled))
+    if not n or not m:
+        return Model({}, bias)
+    # Only features whose rate among the positives differs by CLEAR standard errors can tell.
+    names, place = np.unique(np.r_[positive.cols, unlabelled.cols], return_inverse=True)
+    often, other = (np.bincount(p, minlength=len(names)).astype(float) for p in np.split(place, [len(positive.cols)]))
     rate = (often + other) / (n + m)
     error = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n + 1 / m))
     used = np.flatnonzero((np.abs(often / n - other / m) > CLEAR * error) & (often + other >= 3))
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
+    at = np.full(len(names), -1)
+    at[used] = np.arange(len(used))
 
-    def compact(rows: Rows):
-        at = place[rows.cols]
-        row = np.repeat(np.arange(len(rows)), np.diff(rows.start))[at >= 0]
-        return at[at >= 0], row, len(rows)
+    def compact(rows: Rows, cols: np.ndarray):
+        row = np.repeat(np.arange(len(rows)), np.diff(rows.start))
+        ok = at[cols] >= 0
+        return at[cols][ok], row[ok], len(rows)
 
-    pos, unl = compact(positive), compact(unlabelled)
+    pos, unl = compact(positive, place[: len(positive.cols)]), compact(unlabelled, place[len(positive.cols) :])
 
     def score(rows, w, b):
         return np.bincount(rows[1], w[rows[0]], rows[2]) + b
@@ -78,7 +91,7 @@ def train(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 300, spe
     def sigmoid(x):
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
-    w, b = np.zeros(len(used)), weights[-1]
+    w, b = np.zeros(len(used)), bias
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, rounds + 1):
         fp, fu = score(pos, w, b), score(unl, w, b)
@@ -95,15 +108,15 @@ def train(positive: Rows, unlabelled: Rows, prior: float, rounds: int = 300, spe
         first, second = 0.9 * first + 0.1 * step, 0.999 * second + 0.001 * step**2
         move = speed * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    weights[used], weights[-1] = w, b
-    return weights
+    return Model(dict(zip(names[used].tolist(), w.tolist())), float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text", key: str = "doc_id") -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text", key: str = "doc_id") -> Model:
     """Train on the rows of ``docs`` whose id is ``usable``; labels of other ids are not looked at.
 
     An id with several labels is toxic if one of them says so; null labels are none. The prior is
-    the share of toxic ids among all usable labels.
+    the share of toxic ids among all usable labels, so the unlabelled texts are drawn from the same ids,
+    whatever their label: the risk is right only if the prior is that of the unlabelled texts.
     """
     common.small_batches(docs.sparkSession)
     marks = labels.select(F.col("doc_id").alias(key), "toxic").where(usable & F.col("toxic").isNotNull())
@@ -112,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     prior = min(max(share or 0.05, 0.001), 0.5)
     order = F.xxhash64(F.col(key), F.lit(9))
     toxic = marks.where("toxic = 1").orderBy(order, key).limit(MAX_POSITIVE)
-    others = docs.select(key).where(usable).distinct().orderBy(order, key).limit(MAX_UNLABELLED)
+    others = marks.select(key).orderBy(F.xxhash64(F.col(key), F.lit(3)), key).limit(MAX_UNLABELLED)
     ids = toxic.select(F.col(key).alias("id"), F.lit(1).alias("positive")).union(others.select(F.col(key).alias("id"), F.lit(0)))
     # Written first: its size decides how it meets the documents, which are not shuffled for it.
     chosen = stage(ids.groupBy("id").agg(F.max("positive").alias("positive"), (F.min("positive") == 0).alias("unlabelled")), "sample")
@@ -120,30 +133,28 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     found = rows.join(chosen, F.col("doc") == F.col("id")).select("text", "positive", "unlabelled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = common.Memo(bucket)
+        memo = common.Memo(hashes)
         for batch in batches:
-            rows = pa.array([buckets(t, memo) for t in batch.column(0).to_pylist()], pa.list_(pa.int64()))
+            rows = pa.array([sorted(features(t, memo)) for t in batch.column(0).to_pylist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([rows, batch.column(1), batch.column(2)], ["cols", "positive", "unlabelled"])
 
     sample = found.mapInArrow(run, "cols array<long>, positive int, unlabelled boolean").toPandas()
 
     def sparse(of: pd.DataFrame) -> Rows:
-        return Rows.of([(np.asarray(c, np.int64), np.ones(len(c), np.float32)) for c in of["cols"]], BUCKETS)
+        return Rows.of([(np.asarray(c, np.int64), np.ones(len(c), np.float32)) for c in of["cols"]], 1 << 32)
 
     return train(sparse(sample[sample["positive"] == 1]), sparse(sample[sample["unlabelled"] == True]), prior)  # noqa: E712
 
 
-def score(weights: np.ndarray, docs: DataFrame, text: str = "text") -> Column:
+def score(model: Model, docs: DataFrame, text: str = "text") -> Column:
     """A column with the probability that a row's text is toxic; of a null or empty text, by the bias."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        w, memo = shared.value, common.Memo(bucket)
-        bias = float(w[-1])
+        memo = common.Memo(shared.value.known)
         for part in parts:
-            f = [float(w[buckets(t, memo)].sum()) + bias for t in part]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(f, -30, 30))), dtype=float)
+            yield pd.Series([shared.value.score(t, memo) for t in part], dtype=float)
 
     return run(F.col(text).cast("string"))
 
@@ -155,12 +166,12 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "d
     Other columns are ignored; without labels every score is the prior.
     """
     apart = F.coalesce(common.fold(key, FOLDS) == HELD_OUT, F.lit(False))
-    weights = fit(docs, labels, common.fold(key, FOLDS) != HELD_OUT, text, key)
-    rows = docs.select(F.col(key).alias("doc_id"), apart.alias("held_out"), score(weights, docs, text).alias("score"))
+    model = fit(docs, labels, common.fold(key, FOLDS) != HELD_OUT, text, key)
+    rows = docs.select(F.col(key).alias("doc_id"), apart.alias("held_out"), score(model, docs, text).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    weights = fit(docs, labels, common.fold(key, FOLDS) != HELD_OUT, text, key)
-    return docs.withColumn("__toxic", score(weights, docs, text)).where(F.col("__toxic") < CUT).drop("__toxic")
+    model = fit(docs, labels, common.fold(key, FOLDS) != HELD_OUT, text, key)
+    return docs.withColumn("__toxic", score(model, docs, text)).where(F.col("__toxic") < CUT).drop("__toxic")
