@@ -93,9 +93,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         name = name.lower()
         if end:
+            # The end of a dropped element is part of it.
+            yield "tag", name, dropped > 0, content > 0
             if any(top == name for top, _ in stack):
                 close(name)
-            yield "tag", name, dropped > 0, content > 0
             continue
         if name in BLOCK and stack and stack[-1][0] == "p":
             close("p")
