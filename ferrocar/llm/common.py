@@ -66,11 +66,11 @@ class Seen:
 END = "\x00"
 
 
-def write_binary(df: DataFrame, path: str, per_file: int, by: str | None = None) -> None:
+def write_binary(df: DataFrame, path: str, per_file: int, by: tuple[str, ...] = ()) -> None:
     """Write the binary column ``body``, each value ending in a zero byte, ``per_file`` values a file."""
     trimmed = F.expr("cast(substring(body, 1, length(body) - 1) AS string)").alias("value")
-    writer = df.select(trimmed, *([by] if by else [])).write.option("lineSep", END)
-    writer = writer.partitionBy(by) if by else writer
+    writer = df.select(trimmed, *by).write.option("lineSep", END)
+    writer = writer.partitionBy(*by) if by else writer
     writer.option("maxRecordsPerFile", per_file).text(path)
 
 

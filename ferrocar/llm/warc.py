@@ -20,13 +20,11 @@ from pyspark.sql import functions as F
 from ferrocar.llm import common
 from ferrocar.session import stage
 
-# Payloads of fewer bytes are never revisits. Bytes of records in an archive, and read at a time.
-SMALLEST, ARCHIVE, PIECE = 0, 8 << 20, 1 << 20
+# Payloads of fewer bytes are never revisits. Bytes of records in an archive, and read at a time. Compression.
+SMALLEST, ARCHIVE, PIECE, LEVEL = 0, 8 << 20, 1 << 20, 6
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EMPTY_MEMBER = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
-ENTRY = "array<struct<record_id: string, kind: string, at: long, size: long>>"
-_ENTRY = pa.list_(pa.struct([("record_id", pa.string()), ("kind", pa.string()), ("at", pa.int64()), ("size", pa.int64())]))
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
@@ -49,7 +47,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _packed(data: bytes, level: int = 3) -> bytes:
+def _packed(data: bytes, level: int = LEVEL) -> bytes:
     """A gzip member; one of no content follows where the last byte would not be zero."""
     deflate = zlib.compressobj(level, zlib.DEFLATED, 31)
     body = deflate.compress(data) + deflate.flush()
@@ -114,7 +112,7 @@ def write_streams(pages: DataFrame, folder: str) -> None:
     """Write archives that are one gzip stream each, from the columns of :func:`with_originals`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        deflate, size, out = zlib.compressobj(1, zlib.DEFLATED, 31), 0, []
+        deflate, size, out = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), 0, []
 
         def body() -> pa.RecordBatch:
             whole = b"".join(out) + deflate.flush()
@@ -125,7 +123,7 @@ def write_streams(pages: DataFrame, folder: str) -> None:
                 data = record(page, url, html.encode(), other)
                 if size and size + len(data) > ARCHIVE:
                     yield body()
-                    deflate, size, out = zlib.compressobj(1, zlib.DEFLATED, 31), 0, []
+                    deflate, size, out = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), 0, []
                 out.append(deflate.compress(data))
                 size += len(data)
         if size:
@@ -136,37 +134,43 @@ def write_streams(pages: DataFrame, folder: str) -> None:
 
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite the archives below ``source`` with a gzip member per record, and an index of the members.
+    """Rewrite the archives below ``source`` with a gzip member per record, and an index beside each.
 
-    Archives go to ``target``/archives, split where their records exceed ``ARCHIVE`` bytes; the index to
-    ``target``/index: (archive, entries) with each record's id, kind, offset and length.
+    An archive NAME, split where its records exceed ``ARCHIVE`` bytes, is the file below
+    ``target``/kind=archive/archive=NAME; its index the gzip file below ``target``/kind=index/archive=NAME,
+    a line for each member: offset, length, record id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 name = hashlib.sha1(batch.column(0)[i].as_py().encode()).hexdigest()[:16]
-                number, size, at, bodies, entries = 0, 0, 0, [], []
+                number, size, at, bodies, lines = 0, 0, 0, [], []
 
                 def out():
-                    cols = [pa.array([f"{name}-{number:05d}"]), pa.array([b"".join(bodies)], pa.binary()), pa.array([entries], _ENTRY)]
-                    return pa.RecordBatch.from_arrays(cols, ["archive", "body", "entries"])
+                    index = _packed("".join(lines).encode())
+                    cols = [["archive", "index"], [f"{name}-{number:05d}"] * 2, [b"".join(bodies), index]]
+                    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "archive", "body"])
 
                 for data in records(inflated(batch.column(1)[i].as_py())):
                     if size and size + len(data) > ARCHIVE:
                         yield out()
-                        number, size, at, bodies, entries = number + 1, 0, 0, [], []
+                        number, size, at, bodies, lines = number + 1, 0, 0, [], []
                     said, member = fields(data[: data.find(b"\r\n\r\n")]), _packed(data)
-                    entries.append({"record_id": said["warc-record-id"], "kind": said["warc-type"], "at": at, "size": len(member)})
+                    lines.append(f"{at} {len(member)} {said['warc-record-id']}\n")
                     bodies.append(member)
                     size, at = size + len(data), at + len(member)
                 if bodies:
                     yield out()
 
     files = common.read_binary(spark, source).select("path", "content")
-    rows = stage(files.mapInArrow(run, f"archive string, body binary, entries {ENTRY}"), "members")
-    common.write_binary(rows, f"{target}/archives", 1, "archive")
-    rows.select("archive", "entries").write.parquet(f"{target}/index")
+    common.write_binary(files.mapInArrow(run, "kind string, archive string, body binary"), target, 1, ("kind", "archive"))
+
+
+def members(index: bytes) -> list[tuple[int, int]]:
+    """Offsets and lengths of an archive's members from its index."""
+    lines = b"".join(inflated(index)).decode().splitlines()
+    return [(int(at), int(size)) for at, size, _ in (line.split(" ", 2) for line in lines)]
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,8 +188,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 content, found = batch.column(0)[i].as_py(), []
-                for e in batch.column(1)[i].as_py():
-                    data = b"".join(inflated(content[e["at"] : e["at"] + e["size"]]))
+                for at, size in members(batch.column(1)[i].as_py()):
+                    data = b"".join(inflated(content[at : at + size]))
                     head = data.find(b"\r\n\r\n")
                     said = fields(data[:head])
                     http = data.find(b"\r\n\r\n", head + 4)
@@ -200,10 +204,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    files = common.read_binary(spark, f"{folder}/archives").select(F.regexp_extract("path", "archive=([^/]+)", 1).alias("archive"), "content")
-    index = spark.read.schema(f"archive string, entries {ENTRY}").parquet(f"{folder}/index")
+    def files(kind: str, content: str) -> DataFrame:
+        found = common.read_binary(spark, folder).where(F.col("path").contains(f"/kind={kind}/"))
+        return found.select(F.regexp_extract("path", "archive=([^/]+)", 1).alias("archive"), F.col("content").alias(content))
+
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return files.join(index, "archive").select("content", "entries").mapInArrow(run, schema)
+    return files("archive", "content").join(files("index", "index"), "archive").select("content", "index").mapInArrow(run, schema)
 
 
 def archived(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
@@ -215,5 +221,5 @@ def archived(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     """
     spark, folder = pages.sparkSession, common.new_folder(pages.sparkSession, "warc")
     write_streams(with_originals(pages, smallest), f"{folder}/streams")
-    normalise(spark, f"{folder}/streams", folder)
-    return read(spark, folder)
+    normalise(spark, f"{folder}/streams", f"{folder}/normalised")
+    return read(spark, f"{folder}/normalised")
