@@ -29,8 +29,9 @@ from ferrocar.session import stage
 HEADS = (4, 5)
 # Features count that differ by so many standard errors between the two samples.
 CLEAR = 4.0
-# The fit takes at most so many confirmed and unlabelled rows, those first by a hash of their id.
-MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
+# The fit takes at most so many confirmed and unlabelled rows, those first by a hash of their id, and the
+# clearest features.
+MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 3_000, 6_000, 20_000
 FOLDS, HELD_OUT, CUT = 4, 2, 0.3
 
 
@@ -129,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     ids = toxic.select(F.col(key).alias("id"), F.lit(1).alias("positive")).union(others.select(F.col(key).alias("id"), F.lit(0)))
     # Written first: its size decides how it meets the documents, which are not shuffled for it.
     chosen = stage(ids.groupBy("id").agg(F.max("positive").alias("positive"), (F.min("positive") == 0).alias("unlabelled")), "sample")
-    rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-    found = rows.join(chosen, F.col("doc") == F.col("id")).select("text", "positive", "unlabelled")
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
+    found = texts.join(chosen, F.col("doc") == F.col("id")).select("text", "positive", "unlabelled")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = common.Memo(hashes)
@@ -138,7 +139,25 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
             rows = pa.array([sorted(features(t, memo)) for t in batch.column(0).to_pylist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([rows, batch.column(1), batch.column(2)], ["cols", "positive", "unlabelled"])
 
-    sample = found.mapInArrow(run, "cols array<long>, positive int, unlabelled boolean").toPandas()
+    # Counted over the cluster, so that only features that can tell reach the driver.
+    rows = stage(found.mapInArrow(run, "cols array<long>, positive int, unlabelled boolean"), "features")
+    pos, unl = (F.col("positive") == 1).cast("int"), F.col("unlabelled").cast("int")
+    n, m = rows.agg(F.coalesce(F.sum(pos), F.lit(0)), F.coalesce(F.sum(unl), F.lit(0))).first()
+    if not n or not m:
+        return train(Rows.of([], 1), Rows.of([], 1), prior)
+    counts = rows.select(F.explode("cols").alias("mark"), pos.alias("pos"), unl.alias("unl")).groupBy("mark")
+    counts = counts.agg(F.sum("pos").alias("often"), F.sum("unl").alias("other")).where("often + other >= 3")
+    rate = (F.col("often") + F.col("other")) / F.lit(n + m)
+    clear = F.abs(F.col("often") / n - F.col("other") / m) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / n + 1 / m))
+    telling = counts.withColumn("clear", clear).where(F.col("clear") > CLEAR).orderBy(F.desc("clear"), "mark").limit(MAX_FEATURES)
+    known = docs.sparkSession.sparkContext.broadcast(np.array(sorted(r["mark"] for r in telling.select("mark").collect()), np.int64))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [c[np.isin(c, known.value)] for c in (np.array(x, np.int64) for x in batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(cols, pa.list_(pa.int64())), *batch.columns[1:]], batch.schema.names)
+
+    sample = rows.mapInArrow(keep, rows.schema).toPandas()
 
     def sparse(of: pd.DataFrame) -> Rows:
         return Rows.of([(np.asarray(c, np.int64), np.ones(len(c), np.float32)) for c in of["cols"]], 1 << 32)
