@@ -4,10 +4,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A number and nothing else: a cast alone would take Java's suffixes (12d, 12f) for part of it.
+NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
+
+
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a number is missing."""
-    value = F.trim(c.cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    value = F.trim(c.cast("string"))
+    return F.when(value.rlike(NUMBER), value.try_cast("double"))
 
 
 def decimal_comma(c: Column) -> Column:

@@ -76,11 +76,11 @@ def mean_panel(listings: DataFrame, keys: Sequence[str]) -> DataFrame:
 def add_quotes(rows: DataFrame, monthly: DataFrame, on: str = "month") -> DataFrame:
     """Left join of one quote row per month.
 
-    The broadcast side has at most one row per calendar month (twelve a year, one column per
+    The other side, which the optimizer broadcasts while it is small, has at most one row per calendar month (twelve a year, one column per
     instrument), whatever the size of the quote feed or of the listings.
     """
     quotes = monthly if on == "month" else monthly.withColumnsRenamed({"month": on})
-    return rows.join(F.broadcast(quotes), on, "left")
+    return rows.join(quotes, on, "left")
 
 
 def from_month(panel: DataFrame, start: str) -> DataFrame:

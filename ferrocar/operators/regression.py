@@ -290,9 +290,9 @@ def cell_predictions(cells: DataFrame, design: Design, solutions: Sequence[Solut
 def residuals(rows: DataFrame, predictions: DataFrame, design: Design, keys: Sequence[str]) -> DataFrame:
     """Complete rows with ``segment`` and ``resid``.
 
-    The broadcast table has one row per segment and calendar month.
+    The predictions have one row per segment and calendar month.
     """
-    joined = rows.join(F.broadcast(predictions), list(keys))
+    joined = rows.join(predictions, list(keys))
     fitted = F.col("fixed")
     for i, c in enumerate(design.row_columns):
         fitted = fitted + F.col("slopes")[i] * F.col(c)

@@ -32,7 +32,7 @@ def quoted_months(monthly: DataFrame, required: Sequence[str]) -> DataFrame:
 def observed(prepared: DataFrame, monthly: DataFrame, required: Sequence[str]) -> DataFrame:
     """Listings whose observation month has the required quotes."""
     months = quoted_months(monthly, required).select(F.col("month").alias("observation_month"))
-    return prepared.join(F.broadcast(months), "observation_month", "left_semi")
+    return prepared.join(months, "observation_month", "left_semi")
 
 
 def descriptives(rows: DataFrame) -> DataFrame:

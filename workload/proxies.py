@@ -29,15 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input is too small to be split by the scan.
-
-    A table of many files or row groups is read as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def listing_key() -> Column:
     return F.concat_ws("-", *[F.col(c).cast("string") for c in KEY])
 

@@ -196,9 +196,9 @@ def label_cleanup(spark, d):
     )
 
 
-_VISIBLE = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+_VISIBLE = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
   regexp_replace(regexp_replace(html, '<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', ' ', 'gis'), '<[^>]*>', ' ', 'gs'),
-  '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'),
+  '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'),
   '[\s\x{00A0}]+', ' ', 'g'))"""
 
 
