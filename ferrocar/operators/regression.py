@@ -157,10 +157,17 @@ class Solution:
     sse: float
     sst: float
     cond_no: float
+    rank: int
 
     @property
     def df_resid(self) -> int:
-        return self.n - len(self.coef)
+        """Rows beyond the terms that can be told apart, the intercept included."""
+        return self.n - self.rank - 1
+
+    @property
+    def fitted(self) -> bool:
+        """Whether the segment has enough rows for the design; if not, it has its count alone."""
+        return self.n > len(self.coef)
 
 
 def _solve(segment: str, n: int, means, products, names: list[str]) -> Solution:
@@ -176,11 +183,12 @@ def _solve(segment: str, n: int, means, products, names: list[str]) -> Solution:
         scale = np.where(scale == 0, 1.0, scale)
     unit = full[:k, :k] / np.outer(scale, scale)
     inverse = np.linalg.pinv(unit, hermitian=True) / np.outer(scale, scale)
+    rank = int(np.linalg.matrix_rank(unit, hermitian=True)) if k else 0
     slopes = inverse @ full[:k, k]
     intercept = mu[k] - mu[:k] @ slopes
     sst = full[k, k]
     sse = sst - slopes @ full[:k, k]
-    sigma2 = sse / (n - size) if n > size else float("nan")
+    sigma2 = sse / (n - rank - 1) if n > rank + 1 else float("nan")
     variance = np.concatenate([[1.0 / n + mu[:k] @ inverse @ mu[:k]], np.diag(inverse)]) * sigma2
     raw = np.empty((size, size))
     raw[0, 0] = n
@@ -189,18 +197,17 @@ def _solve(segment: str, n: int, means, products, names: list[str]) -> Solution:
     eigen = np.linalg.eigvalsh(raw)
     cond = float(np.sqrt(eigen[-1] / eigen[0])) if eigen[0] > 0 else float("inf")
     coef = np.concatenate([[intercept], slopes])
-    return Solution(segment, n, ["Intercept", *names], coef, np.sqrt(variance), float(sse), float(sst), cond)
+    return Solution(segment, n, ["Intercept", *names], coef, np.sqrt(variance), float(sse), float(sst), cond, rank)
 
 
 def solve(cells: DataFrame, design: Design) -> list[Solution]:
-    """Fit each segment. Only its cross-product matrix (one row) reaches the driver."""
+    """Fit each segment. Only its cross-product matrix (one row) reaches the driver.
+
+    A segment with too few rows for the design is kept with its count and without a fit.
+    """
     names = [t.name for t in design.terms]
     rows = cross_products(cells, design).orderBy("segment").collect()
-    return [
-        _solve(r["segment"], r["n"], r["means"], r["products"], names)
-        for r in rows
-        if r["n"] > len(names) + 1
-    ]
+    return [_solve(r["segment"], r["n"], r["means"], r["products"], names) for r in rows]
 
 
 def _clean(x: float) -> float | None:
@@ -211,6 +218,9 @@ def coefficient_table(spark: SparkSession, solutions: Sequence[Solution], level:
     """Coefficient, standard error, t, p and confidence interval per term."""
     rows = []
     for s in solutions:
+        if not s.fitted:
+            rows += [(s.segment, name, *[None] * 6) for name in s.names]
+            continue
         wide = tails.student_quantile(0.5 + level / 2.0, s.df_resid)
         for name, b, se in zip(s.names, s.coef, s.std_err):
             t = b / se if se > 0 else float("nan")
@@ -223,31 +233,22 @@ def fit_table(spark: SparkSession, solutions: Sequence[Solution]) -> DataFrame:
     """Fit statistics per segment."""
     rows = []
     for s in solutions:
-        k = len(s.coef) - 1
-        r2 = 1.0 - s.sse / s.sst
-        f = (s.sst - s.sse) / k / (s.sse / s.df_resid)
-        ll = -s.n / 2.0 * (np.log(2.0 * np.pi * s.sse / s.n) + 1.0)
-        rows.append(
-            (
-                s.segment,
-                s.n,
-                k,
-                s.df_resid,
-                *map(
-                    float,
-                    (
-                        r2,
-                        adjusted_r2(r2, s.n, k),
-                        f,
-                        tails.f_upper(f, k, s.df_resid),
-                        ll,
-                        aic(ll, k),
-                        bic(ll, k, s.n),
-                        s.cond_no,
-                    ),
-                ),
-            )
-        )
+        if not s.fitted:
+            rows.append((s.segment, s.n, None, None, *[None] * 8))
+            continue
+        k, r2, f, p, ll = s.rank, None, None, None, None
+        # A constant response has nothing to explain; a perfect fit leaves nothing to test.
+        if s.sst > 0:
+            r2 = 1.0 - s.sse / s.sst
+        if s.sst > 0 and s.sse > 0:
+            ll = -s.n / 2.0 * (np.log(2.0 * np.pi * s.sse / s.n) + 1.0)
+        if s.sst > 0 and s.sse > 0 and k:
+            f = (s.sst - s.sse) / k / (s.sse / s.df_resid)
+            p = tails.f_upper(f, k, s.df_resid)
+        adjusted = None if r2 is None else adjusted_r2(r2, s.n, k)
+        criteria = (None, None) if ll is None else (aic(ll, k), bic(ll, k, s.n))
+        values = (r2, adjusted, f, p, ll, *criteria, s.cond_no)
+        rows.append((s.segment, s.n, k, s.df_resid, *(None if v is None else float(v) for v in values)))
     return spark.createDataFrame(rows, FIT)
 
 
@@ -269,8 +270,7 @@ def cell_predictions(cells: DataFrame, design: Design, solutions: Sequence[Solut
     One row per (segment, month): a listing's prediction is ``fixed`` plus its own columns
     times ``slopes``.
     """
-    if not solutions:
-        raise ValueError("no segment has enough rows for the design")
+    solutions = [s for s in solutions if s.fitted]
     segment = F.col(design.split) if design.split else F.lit("pooled")
     fixed, slopes = F.lit(None).cast("double"), F.lit(None).cast("array<double>")
     for s in solutions:

@@ -96,3 +96,18 @@ def test_assigned_month_is_stable_and_in_range(spark):
     assert months.collect() == months.collect()
     other = keys.select(dates.assigned_month(F.col("k"), "2020-01-01", "2025-10-01", "7").alias("m"))
     assert other.collect() != months.collect()
+
+
+def test_only_whole_numbers_are_numbers(column):
+    texts = ["12d", "12f", "1e3", " -2.5 ", ".5", "5.", "0x1A", "1_000", "inf", "NaN", "--1"]
+    assert column(numeric.to_number, texts) == [None, None, 1000.0, -2.5, 0.5, 5.0, None, None, float("inf"), None, None]
+
+
+def test_entities_are_decoded_once(column):
+    texts = ["caf&eacute; &#8211; &#x1F642;", "&amp;lt; &nosuch; &#0; a & b;", "&copy;&middot;&apos;", "plain", None]
+    assert column(html.unescape, texts) == ["café – 🙂", "&lt; &nosuch; &#0; a & b;", "©·'", "plain", None]
+
+
+def test_links_need_a_name_of_their_own(column):
+    texts = ["<a data-href='/no' href='/yes'>", "<a class=x href=/d/1>", '<a href="/q?a=1&amp;b=2">', "<a data-href='/no'>"]
+    assert column(html.first_link, texts) == ["/yes", "/d/1", "/q?a=1&b=2", None]
