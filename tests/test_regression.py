@@ -158,3 +158,20 @@ def test_cell_correlation_equals_row_correlation(spark):
     cells = df.groupBy("m", "x").agg(F.count("y").alias("n_rows"), F.avg("y").alias("mu"), F.var_pop("y").alias("v")).withColumn("k", F.lit(1))
     got = stats.weighted_pearson(cells, ["k"], "n_rows", "mu", "v", "x").first()
     assert got["r"] == pytest.approx(np.corrcoef([r[1] for r in rows], [r[2] for r in rows])[0, 1]) and got["n"] == 400
+
+
+def test_short_constant_and_dependent_segments(spark, sample):
+    _, rows = sample
+    kept = [r for r in rows if r[1] == "Petrol"] + [r for r in rows if r[1] == "Electric" and r[3] is not None][:3]
+    kept += [(*r[:1], "Flat", *r[2:5], 7.0, r[6]) for r in rows if r[1] == "Diesel"]
+    kept += [(*r[:1], "Same", *r[2:4], 100.0, *r[5:]) for r in rows if r[1] == "Diesel"]
+    df = spark.createDataFrame(kept, "id int, seg string, month int, km double, hp double, y double, q double")
+    _, _, solutions = fitted(spark, df, "seg")
+    fits = {r.segment: r for r in R.fit_table(spark, solutions).collect()}
+    assert fits["Electric"].n == 3 and fits["Electric"].r2 is None and fits["Electric"].df_resid is None
+    assert fits["Flat"].n > 400 and fits["Flat"].r2 is None and fits["Flat"].f is None
+    # A column that does not vary is no parameter.
+    assert fits["Same"].df_model == 2 and fits["Same"].df_resid == fits["Same"].n - 3 and fits["Same"].r2 > 0
+    assert fits["Petrol"].df_model == 3
+    table = [r for r in R.coefficient_table(spark, solutions).collect() if r.segment == "Electric"]
+    assert len(table) == 4 and all(r.coef is None and r.p is None for r in table)
