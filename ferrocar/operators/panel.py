@@ -122,8 +122,8 @@ def mean_price_by_brand(panel: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("avg_price"), "brand")
 
 
-def price_trim(listings: DataFrame, low: float = 0.01, high: float = 0.99, **options) -> DataFrame:
+def price_trim(listings: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows between two price quantiles, both bounds included."""
-    bounds = exact_quantiles(listings, [], PRICE, [low, high], ["lower", "upper"], **options)
+    bounds = exact_quantiles(listings, [], PRICE, [low, high], ["lower", "upper"])
     both = bounds.select(F.struct("lower", "upper")).scalar()
     return listings.where(F.col(PRICE).between(both["lower"], both["upper"]))

@@ -2,9 +2,9 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer, which a hot
 group can outgrow. Here equal values are counted first (a hash aggregate with map-side
-combining, spread over group *and* value). If the counted table is small the built-in
-aggregate finishes the job on it; beyond that, counts per value range locate the range that
-holds each wanted rank, and only those ranges are ordered.
+combining, spread over group *and* value). The counts are range-sorted by group and value, so
+that a task holds its share of them whatever the groups and values are; sums per group and task
+tell which tasks hold the wanted ranks, and only their rows are numbered.
 """
 
 from collections.abc import Sequence
@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from ferrocar.session import stage
 
-# Counted rows that may go to the built-in aggregate, over all groups together.
-SMALL_ROWS = 2_000_000
-# Value ranges of the selection; it bounds the rows of a group in the running sum.
-RANGES = 65_536
-
 
 def count_values(
     df: DataFrame, keys: Sequence[str], value: str, carried: Sequence[Column] = ()
@@ -40,37 +35,20 @@ def exact_quantiles(
     names: Sequence[str],
     *,
     counts: DataFrame | None = None,
-    small_rows: int = SMALL_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group: ``keys`` and one column per name."""
     if counts is None:
         counts = count_values(df, keys, value)
     counts = counts.select(*keys, value, "n").where(F.col(value).isNotNull())
-    if counts.count() <= small_rows:  # row counts come from the staged files' footers
-        return _from_counts(counts, keys, value, probs, names)
-    return _by_ranges(counts, keys, value, probs, names, ranges)
-
-
-def _from_counts(counts, keys, value, probs, names):
-    both = counts.groupBy(*keys).agg(
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in probs]), F.col("n")).alias("_q")
-    )
-    return both.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
-
-
-def _by_ranges(counts, keys, value, probs, names, ranges):
-    lo = counts.agg(F.min(value)).scalar()
-    hi = counts.agg(F.max(value)).scalar()
-    place = F.floor((F.col(value) - lo) / (hi - lo) * F.lit(float(ranges)))
-    placed = counts.withColumn(
-        "_range", F.when(hi > lo, F.least(place, F.lit(ranges - 1))).otherwise(F.lit(0)).cast("int")
-    ).withColumn("_all", F.lit(0))
+    order = [*keys, value]
+    placed = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(placed.withColumn("_part", F.spark_partition_id()).withColumn("_all", F.lit(0)), "sorted-counts")
 
+    # One row per group and task.
     group = ["_all", *keys]
-    running = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    per_range = (
-        placed.groupBy(*group, "_range")
+    running = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    per_part = (
+        placed.groupBy(*group, "_part")
         .agg(F.sum("n").alias("_held"))
         .withColumn("_before", F.coalesce(F.sum("_held").over(running), F.lit(0)))
         .withColumn("_total", F.sum("_held").over(W.partitionBy(*group)))
@@ -88,10 +66,10 @@ def _by_ranges(counts, keys, value, probs, names, ranges):
         below, above, _ = ranks(p)
         for rank in (below, above):
             wanted = wanted | held(rank, F.col("_before"), F.col("_held"))
-    targets = per_range.where(wanted).select(*group, "_range", "_before", "_total")
+    targets = per_part.where(wanted).select(*group, "_part", "_before", "_total")
 
-    up_to = W.partitionBy(*group, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    ordered = placed.join(targets, [*group, "_range"]).withColumn(
+    up_to = W.partitionBy(*group, "_part").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    ordered = placed.join(targets, [*group, "_part"]).withColumn(
         "_start", F.col("_before") + F.sum("n").over(up_to) - F.col("n")
     )
     picked, outputs = [], []

@@ -3,8 +3,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from ferrocar.operators import quantile
 from ferrocar.operators.panel import price_panel, price_trim
 from ferrocar.operators.quantile import exact_quantiles
+from ferrocar.session import stage
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
 NAMES = [f"q{i}" for i in range(len(PROBS))]
@@ -19,34 +21,53 @@ def brute(rows):
     return out
 
 
-def compare(spark, rows, **options):
+def compare(spark, rows):
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: [r[n] for n in NAMES] for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES, **options).collect()}
+    got = {r["k"]: [r[n] for n in NAMES] for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
     expected = brute(rows)
     assert got.keys() == expected.keys()
     for k in got:
         assert got[k] == pytest.approx(list(expected[k]))
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0, "ranges": 7}, {"small_rows": 0}])
-def test_against_numpy_with_a_hot_group_and_an_outlier(spark, options):
+def hot_rows():
     rng = np.random.default_rng(5)
-    rows = [("hot", float(v)) for v in rng.integers(0, 300, 2000)]
+    rows = [("hot", float(v)) for v in rng.random(20_000)] + [("hot", 1e13)]
     rows += [(f"g{i % 9}", float(v)) for i, v in enumerate(rng.normal(50, 20, 500))]
-    rows += [("hot", 1e9), ("one", 4.0), ("none", None), (None, 3.0), ("flat", 2.0), ("flat", 2.0)]
-    compare(spark, rows, **options)
+    return rows + [("one", 4.0), ("none", None), (None, 3.0), ("flat", 2.0), ("flat", 2.0)]
+
+
+def test_against_numpy_with_a_hot_group_and_an_outlier(spark):
+    compare(spark, hot_rows())
+
+
+def test_no_task_holds_more_than_its_share(spark, monkeypatch):
+    staged = {}
+
+    def keep(df, label):
+        staged[label] = stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(quantile, "stage", keep)
+    # Parts are not put together, as they would be for so few rows.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        compare(spark, hot_rows())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in staged["sorted-counts"].groupBy("_part").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
-def test_range_selection_property(spark, rows):
-    compare(spark, rows, small_rows=0, ranges=5)
+def test_selection_property(spark, rows):
+    compare(spark, rows)
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0, "ranges": 11}])
-def test_trim_bounds_are_inclusive(spark, options):
+def test_trim_bounds_are_inclusive(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 102)] + [(None,)], "price_chf double")
-    kept = sorted(r[0] for r in price_trim(df, **options).collect())
+    kept = sorted(r[0] for r in price_trim(df).collect())
     assert kept == [float(i) for i in range(2, 101)]
 
 

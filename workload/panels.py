@@ -410,8 +410,8 @@ SELECT brand, {r6_sql('quantile_cont(price_chf, 0.01)', 'p01')}, {r6_sql('quanti
 FROM listings GROUP BY 1""",
 )
 def price_trim_by_ranges(spark, d):
-    """The range selection that large groups take, on every listing."""
-    out = exact_quantiles(P.listings(spark, d), ["brand"], "price_chf", [0.01, 0.5, 0.99], ["p01", "p50", "p99"], small_rows=0)
+    """The bounds of each brand, over every listing."""
+    out = exact_quantiles(P.listings(spark, d), ["brand"], "price_chf", [0.01, 0.5, 0.99], ["p01", "p50", "p99"])
     return out.select("brand", *[r6(c, c) for c in ("p01", "p50", "p99")])
 
 
