@@ -34,7 +34,7 @@ def quote_month(month: Column, date: Column) -> Column:
     return month_of(F.coalesce(parse_date(month, "M-yyyy"), date))
 
 
-def month_sequence(first: str, last: str) -> Column:
+def month_sequence(first: str | Column, last: str | Column) -> Column:
     """All months between two dates, both included."""
     return F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("interval 1 month"))
 

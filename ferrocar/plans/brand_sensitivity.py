@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrocar.operators import impute, panel, series, stats
+from ferrocar.session import stage
 
 
 def master(raw: DataFrame, monthly: DataFrame, new_vehicle_month: str) -> DataFrame:
@@ -37,10 +38,12 @@ def correlations(
 ) -> DataFrame:
     """``brand, instrument, r, n`` for the best covered brands.
 
-    ``brand_month`` is already aggregated, so everything here runs on brands x months rows.
+    ``brand_month`` is already aggregated, so everything here runs on brands x months rows, which are
+    staged in the shared folder.
     """
     monthly = series.monthly_wide(series.monthly_mean(quotes), instruments)
-    rows = analysis_panel(brand_month, monthly, start)
+    # Read twice, for the selection and for the correlations, but worked out once.
+    rows = stage(analysis_panel(brand_month, monthly, start), "brand-months")
     chosen = panel.only_brands(rows, selected_brands(rows, instruments, minimum, most))
     cells = [
         F.struct(

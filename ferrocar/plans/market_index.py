@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ferrocar.functions import numeric
 from ferrocar.operators import panel, series, stats
+from ferrocar.session import stage
 
 
 def month_table(listings: DataFrame, quotes: DataFrame, weights: Mapping[str, float], segment: Sequence[str] = ()) -> DataFrame:
     """Monthly price panel with quotes and composite index; rows are months (x segments)."""
     instruments = list(weights)
-    monthly = series.monthly_mean(quotes)
+    monthly = stage(series.monthly_mean(quotes), "monthly-quotes")
     wide = series.monthly_wide(monthly, instruments)
     index = series.composite_index(monthly, weights)
     prices = panel.monthly_panel(listings, segment)
@@ -22,6 +23,7 @@ def month_table(listings: DataFrame, quotes: DataFrame, weights: Mapping[str, fl
 def price_correlations(table: DataFrame, instruments: Sequence[str]) -> DataFrame:
     """Pearson and Spearman of the median price with the composite and each commodity."""
     series_names = ["composite_index", *instruments]
+    table = stage(table, "months")
     long = table.unpivot(
         ["month", "median_price"], [F.col(f"`{c}`") for c in series_names], "instrument", "value"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ferrocar.functions import numeric
-from ferrocar.operators import series, stats
+from ferrocar.operators import profile, series, stats
 from ferrocar.plans import quote_profile
 from ferrocar.sources import readers
 from workload import proxies as P
@@ -149,6 +149,19 @@ _PIVOT = ", ".join(f"max(close) FILTER (WHERE instrument = '{i}') AS \"{i}\"" fo
 _WIDE = ", ".join(r6_sql(f'"{i}"', f'"{i}"') for i in P.INSTRUMENTS)
 
 
+_AVERAGES = ", ".join(r6_sql(f'"{i}"', f'"{i}_Monthly_Avg"') for i in P.INSTRUMENTS)
+
+
+@query(
+    "p3_suffix_selection",
+    f"WITH {P.MONTHLY_SQL}, wide AS (SELECT month, {_PIVOT} FROM monthly GROUP BY 1) SELECT {ym_sql()}, {_AVERAGES} FROM wide",
+)
+def suffix_selection(spark, d):
+    wide = series.monthly_wide(series.monthly_mean(P.quotes(spark, d)), P.INSTRUMENTS)
+    wide = wide.withColumnsRenamed({i: f"{i}_Monthly_Avg" for i in P.INSTRUMENTS}).withColumn("Spot", F.lit(0.0))
+    return wide.select(ym(), *[r6(F.col(f"`{c}`"), c) for c in profile.with_suffix(wide, "_Monthly_Avg")])
+
+
 @query(
     "o9_long_to_wide",
     f"""WITH {P.QUOTES_SQL}, wide AS (SELECT date, {_PIVOT} FROM quotes GROUP BY 1)

@@ -347,7 +347,7 @@ def month_sequence(spark, d):
     orders = P.table(spark, d, "orders").select(dates.month_of(F.to_date("o_orderdate")).alias("month"))
     counted = orders.groupBy("month").agg(F.count(F.lit(1)).alias("orders"))
     span = counted.agg(F.min("month").alias("a"), F.max("month").alias("b"))
-    months = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("month"))
+    months = span.select(F.explode(dates.month_sequence(F.col("a"), F.col("b"))).alias("month"))
     joined = months.join(counted, "month", "left")
     return joined.select(ym(), F.coalesce("orders", F.lit(0)).alias("orders"))
 
