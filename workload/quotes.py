@@ -154,7 +154,7 @@ _AVERAGES = ", ".join(r6_sql(f'"{i}"', f'"{i}_Monthly_Avg"') for i in P.INSTRUME
 
 @query(
     "p3_suffix_selection",
-    f"WITH {P.MONTHLY_SQL}, wide AS (SELECT month, {_PIVOT} FROM monthly GROUP BY 1) SELECT {ym_sql()}, {_AVERAGES} FROM wide",
+    f"WITH {P.MONTHLY_SQL}, averages AS (SELECT month, {_PIVOT} FROM monthly GROUP BY 1) SELECT {ym_sql()}, {_AVERAGES} FROM averages",
 )
 def suffix_selection(spark, d):
     wide = series.monthly_wide(series.monthly_mean(P.quotes(spark, d)), P.INSTRUMENTS)
