@@ -1,14 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import spark  # noqa: F401  (the session of the other tests)
-
 WORD = "wort"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture
-def odd_documents(spark):  # noqa: F811
+def odd_documents(spark):
     """Nulls, empty and very long texts, repeated rows, and other columns with names that operators use."""
     long = " ".join(f"{WORD}{i % 977}" for i in range(30_000))
     rows = [
