@@ -15,9 +15,9 @@ RAW = [("BMW X5, \"M\"\nPaket", "12900", "10", "150", "Benzin", "06.2024", "5.2"
 def test_raw_listings_round_trip(spark, tmp_path):
     df = spark.createDataFrame(RAW, S.LISTING_RAW)
     assert writers.write_raw_listings(df, str(tmp_path / "raw"))
-    back = readers.read_raw_listings(spark, str(tmp_path / "raw"))
+    back = readers.read_raw_listings(spark, str(tmp_path / "raw"), multi_line=True)
     assert set(back.collect()) == set(df.na.fill("N/A").collect())
-    typed = readers.read_listings(spark, str(tmp_path / "raw"), S.LISTING_COLUMNS)
+    typed = readers.read_listings(spark, str(tmp_path / "raw"), S.LISTING_COLUMNS, multi_line=True)
     assert {(r["car_model"], r["price_chf"], r["power_mode"]) for r in typed.collect()} == {(RAW[0][0], 12900.0, "Benzin"), ("Skoda", None, None)}
 
 
@@ -34,7 +34,7 @@ def test_missing_tokens_keep_dash_and_unknown(spark):
 def test_curated_round_trip(spark, tmp_path):
     curated = pages.curate(spark.createDataFrame(RAW, S.LISTING_RAW))
     writers.write_curated(curated, str(tmp_path / "c"))
-    back = readers.read_listings(spark, str(tmp_path / "c" / "csv"))
+    back = readers.read_listings(spark, str(tmp_path / "c" / "csv"), multi_line=True)
     assert back.columns == S.CURATED_COLUMNS
     assert {(r["brand"], r["model"]) for r in back.collect()} == {("BMW", "X5,"), ("Skoda", None)}
 
