@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts and benchmark items become sequences of the items' words; other words cannot match. Windows
-of a text are passages with TF-IDF weights, whose document frequencies are counted over all passages.
-A randomised singular value decomposition, summed over the cluster, gives the
+of a text are passages with TF-IDF weights, whose document frequencies are counted over all passages. All
+words of the items count, frequent ones by their weights alone. A randomised singular value decomposition, summed over the cluster, gives the
 latent space; passages whose cosine with an item reaches NEAR are candidates. A candidate holds the
 item if the longest common subsequence covers most of it, or a smaller share of it together with its
 answer, which is its last sentence: so paraphrases are found as well.
@@ -28,8 +28,8 @@ RANK = 64
 NEAR = 0.45
 # Shares of an item that a text must hold in order: alone, or together with its answer.
 ALONE, WITH_ANSWER, ANSWER = 0.75, 0.55, 0.8
-# Words of so many items tell nothing; at most so many items are searched for at a time.
-COMMON, ITEMS = 0.05, 1_000
+# At most so many items are searched for at a time.
+ITEMS = 1_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
@@ -50,13 +50,6 @@ class Benchmark:
                 self.ids.append(item)
                 self.seqs.append([w for s in sentences for w in s])
                 self.answers.append(sentences[-1])
-        distinct = set(map(tuple, self.seqs))
-        held = np.bincount(np.array([w for s in distinct for w in set(s)], np.int64), minlength=len(self.index))
-        self.content = held <= max(1, COMMON * len(distinct))
-        # An item of common words alone is known by all of them.
-        for s in distinct:
-            if not self.content[list(s)].any():
-                self.content[list(s)] = True
 
     def number(self, token: str) -> int:
         return self.index.get(word(token), -1)
@@ -67,13 +60,13 @@ class Benchmark:
         return np.fromiter(map(memo.__getitem__, tokens), np.int32, len(tokens))
 
 
-def passages(seqs: list[np.ndarray], content: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
-    """The windows that hold content words, as rows of their counts; the sequence and the place of each."""
+def passages(seqs: list[np.ndarray], width: int) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """The windows that hold words of items, as rows of their counts; the sequence and the place of each."""
     sizes = np.array([len(s) for s in seqs], np.int64)
     words = np.concatenate([*seqs, np.zeros(0, np.int32)])
     owner = np.repeat(np.arange(len(seqs)), sizes)
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    ok = (words >= 0) & content[words]
+    ok = words >= 0
     words, owner, place = words[ok].astype(np.int64), owner[ok], place[ok] // STRIDE
     # A word lies in the window that starts in its stride and in those that started before and reach it.
     offset = np.cumsum(np.r_[0, sizes // STRIDE + 1])
@@ -81,12 +74,12 @@ def passages(seqs: list[np.ndarray], content: np.ndarray) -> tuple[Rows, np.ndar
     place = np.concatenate([place - b for b in range(back)])
     words, owner = np.tile(words, back), np.tile(owner, back)
     ok = place >= 0
-    key = (offset[owner[ok]] + place[ok]) * len(content) + words[ok]
+    key = (offset[owner[ok]] + place[ok]) * width + words[ok]
     key, count = np.unique(key, return_counts=True)
-    window, cols = key // len(content), key % len(content)
+    window, cols = key // width, key % width
     starts = np.flatnonzero(np.r_[True, window[1:] != window[:-1]]) if len(window) else np.zeros(0, np.int64)
     of = np.searchsorted(offset, window[starts], "right") - 1
-    rows = Rows(np.r_[starts, len(cols)], cols, (1 + np.log(count)).astype(np.float32), len(content))
+    rows = Rows(np.r_[starts, len(cols)], cols, (1 + np.log(count)).astype(np.float32), width)
     return rows, of, (window[starts] - offset[of]) * STRIDE
 
 
@@ -109,8 +102,8 @@ class Index:
 
     def __init__(self, bench: Benchmark, idf: np.ndarray, space: np.ndarray):
         self.bench, self.idf, self.space = bench, idf, space
-        rows = [np.unique([w for w in s if bench.content[w]], return_counts=True) for s in bench.seqs]
-        rows = Rows.of([(c.astype(np.int64), (1 + np.log(np.maximum(n, 1))).astype(np.float32)) for c, n in rows], len(bench.index))
+        rows = [np.unique(s, return_counts=True) for s in bench.seqs]
+        rows = Rows.of([(c, (1 + np.log(n)).astype(np.float32)) for c, n in rows], len(bench.index))
         self.items = unit(rows.scaled(idf).dot(space))
         self.bag = np.zeros((len(bench.seqs), len(bench.index)), bool)
         self.bag[np.repeat(np.arange(len(rows)), np.diff(rows.start)), rows.cols] = True
@@ -121,7 +114,7 @@ class Index:
     def search(self, seqs: list[np.ndarray]) -> list[dict[int, tuple[float, float, float]]]:
         """For each sequence the items that it holds, each with cosine, common share and answer's share."""
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in seqs]
-        rows, of, place = passages(seqs, self.bench.content)
+        rows, of, place = passages(seqs, len(self.bench.index))
         near = unit(rows.scaled(self.idf).dot(self.space))
         for at in range(0, len(near), 4096):
             cosines = near[at : at + 4096] @ self.items.T
@@ -142,7 +135,11 @@ class Index:
         """The shares of the item and of its answer that the text has in order around a passage, if enough."""
         want = self.bench.seqs[item]
         text = seq[max(0, place - len(want)) : place + WINDOW + len(want)]
-        text = text[text >= 0].tolist()
+        text = text[text >= 0]
+        # Other items' words cannot be in the common subsequence.
+        text = text[self.bag[item, text]].tolist()
+        if len(text) < WITH_ANSWER * len(want):
+            return None
         share = common_length(want, text) / len(want)
         if share < WITH_ANSWER:
             return None
@@ -205,14 +202,14 @@ def fit(seqs: DataFrame, bench: Benchmark, rank: int = RANK) -> Index:
     The pass sums A'(A O) for the passages A and a random O; with G = A'A, the eigenvectors of the
     Nystrom form of G are the right singular vectors of A.
     """
-    width, content = len(bench.index), bench.content
+    width = len(bench.index)
     spark = seqs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last row counts the passages.
         total = np.zeros((width + 1, 1))
         for batch in batches:
-            rows, _, _ = passages(_read(batch, 1), content)
+            rows, _, _ = passages(_read(batch, 1), width)
             total[:-1, 0] += np.bincount(rows.cols, minlength=width)
             total[-1, 0] += len(rows)
         yield _pieces(total)
@@ -227,7 +224,7 @@ def fit(seqs: DataFrame, bench: Benchmark, rank: int = RANK) -> Index:
         idf, start = shared.value
         total = np.zeros(start.shape)
         for batch in batches:
-            rows = passages(_read(batch, 1), content)[0].scaled(idf)
+            rows = passages(_read(batch, 1), width)[0].scaled(idf)
             total += rows.transposed().dot(rows.dot(start))
         yield _pieces(total)
 

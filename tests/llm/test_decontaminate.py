@@ -40,6 +40,27 @@ def test_paraphrases_are_found_and_clean_texts_left(spark):
     assert all(d == i for d, i in hits)
 
 
+def test_items_of_a_shared_template_are_found_in_ordinary_prose(spark):
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(1500)]
+    templates = [rng.choices(words, k=14) for _ in range(5)]
+    items = []
+    for i in range(200):
+        # Half of the items differ from others by two names only.
+        said = list(templates[i % 5]) if i < 100 else rng.choices(words, k=40)
+        if i < 100:
+            said[1], said[7] = rng.choices(words, k=2)
+        items.append((i, " ".join(said)))
+    docs = []
+    for i in range(600):
+        text = rng.choices(words, k=300)
+        if i < 200:
+            text[137:137] = items[i][1].split()
+        docs.append((i, " ".join(text), "en", "a", 0))
+    found = decontaminate.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(i, i) for i in range(200)} <= {(r.doc_id, r.item_id) for r in found}
+
+
 def test_common_length_matches_brute_force():
     rng = random.Random(1)
     for _ in range(50):
