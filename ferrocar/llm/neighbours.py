@@ -3,7 +3,8 @@
 A bounded sample gives centroids by balanced clustering. Every vector joins the list of its nearest
 centroid, and, if it lies near a border, the lists of further ones; a centroid closer to one already
 chosen than to the vector adds little and is passed over. A query walks a graph of the centroids held in
-memory, and searches the lists whose centroids are at most ``RATIO`` times as far as the nearest.
+memory, and searches the lists whose centroids are at most ``RATIO`` times as far as the nearest, and further
+ones until these hold enough entries. Queries that are still short of neighbours search all lists.
 
 Equal vectors are one entry that keeps its smallest ids, so a crowd of copies neither fills a list nor
 is lost. Lists are dealt out in pieces of bounded size, and so are the queries that meet them.
@@ -118,9 +119,21 @@ def lists_of(vectors: np.ndarray, centre: np.ndarray) -> list[list[int]]:
     return out
 
 
-def probes(query: np.ndarray, graph: Graph) -> list[int]:
-    found = graph.search(query)
-    return [i for d, i in found[:PROBES] if d <= RATIO**2 * found[0][0] or i == found[0][1]]
+def probes(query: np.ndarray, graph: Graph, first: np.ndarray, least: int) -> list[int]:
+    """The lists to search, nearest first; ``first`` has how many entries have each list as their nearest.
+
+    An entry is nearest to one list alone, so lists with ``least`` of these hold as many distinct entries.
+    """
+    beam = BEAM
+    while True:
+        found = graph.search(query, beam)
+        held = np.cumsum(first[[i for _, i in found]])
+        if held[-1] >= least or len(found) == len(graph.centre):
+            break
+        beam *= 2
+    # As many as are needed, and within the bounds those that are near enough.
+    need = int(np.searchsorted(held, least)) + 1
+    return [i for n, (d, i) in enumerate(found) if n < need or (n < PROBES and d <= RATIO**2 * found[0][0])]
 
 
 def usable(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
@@ -134,6 +147,32 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
+def _through_all(keyed: DataFrame, short: DataFrame, k: int, size: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) for the queries of ``short`` among all vectors, a block of queries in each task."""
+    rows = short.select("query_id", "q").toArrow()
+    given = (rows["query_id"].to_numpy(), _matrix(rows["q"].combine_chunks(), size)) if len(rows) else None
+    shared = keyed.sparkSession.sparkContext.broadcast(given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, dict[int, float]] = {}
+        for batch in batches:
+            ids, v = batch.column(0).to_numpy(), _matrix(batch.column(1), size)
+            for query, q in zip(*shared.value) if shared.value else ():
+                near = best.setdefault(int(query), {})
+                for i, s in zip(ids.tolist(), np.sqrt(((v - q) ** 2).sum(axis=1)).tolist()):
+                    if i != query and s < near.get(i, np.inf):
+                        near[i] = s
+                best[int(query)] = dict(sorted(near.items(), key=lambda x: (x[1], x[0]))[:k])
+        out = [(q, i, s) for q, near in best.items() for i, s in near.items()]
+        cols = zip(*out) if out else [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+    pairs = keyed.select("id", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+    pairs = pairs.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    return pairs.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each id divisible by ``every``.
 
@@ -172,7 +211,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "em
     @F.arrow_udf("array<int>")
     def probed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            yield pa.array([probes(q, graph.value) for q in _matrix(part, size)], pa.list_(pa.int32()))
+            yield pa.array([probes(q, graph.value, first, k + 1) for q in _matrix(part, size)], pa.list_(pa.int32()))
 
     def measure(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(held) or not len(asked):
@@ -191,7 +230,10 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "em
             out_s += exact.tolist()
         return pd.DataFrame({"query": out_q, "entry": out_v, "score": out_s})
 
-    lists = stage(entries.select("entry", "v", F.explode(joined("v")).alias("list")), "lists")
+    lists = stage(entries.select("entry", "v", F.posexplode(joined("v")).alias("nth", "list")), "lists")
+    first = np.zeros(len(centre), np.int64)
+    for r in lists.where(F.col("nth") == 0).groupBy("list").count().collect():
+        first[r["list"]] = r["count"]
     sizes = lists.groupBy("list").count()
     pieces = sizes.select("list", F.ceil(F.col("count") / PIECE).cast("int").alias("pieces"))
     dealt = lists.join(pieces, "list").select("list", F.pmod(F.xxhash64("entry"), F.col("pieces")).cast("int").alias("piece"), "entry", "v")
@@ -210,4 +252,16 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vector: str = "em
     pairs = queries.join(few, "query").join(members, "entry").where("id <> query_id")
     pairs = pairs.groupBy("query_id", F.col("id").alias("vec_id")).agg(F.min("score").alias("score"))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return pairs.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = stage(pairs.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "found")
+    # Where one id has several vectors, entries enough can be candidates too few.
+    got = found.groupBy("query_id").agg(F.count("*").alias("got"))
+    asking = queries.select("query_id").distinct().join(got, "query_id", "left").where(F.coalesce("got", F.lit(0)) < k).select("query_id")
+    short = stage(keyed.join(asking, F.col("id") == F.col("query_id")).select("query_id", F.col("v").alias("q")), "short")
+    blocks = -(-short.count() // PIECE)
+    # A single id has no candidates.
+    if blocks and keyed.select("id").distinct().limit(2).count() < 2:
+        return found
+    for b in range(blocks):
+        block = short.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+        found = found.join(block.select("query_id").distinct(), "query_id", "left_anti").union(_through_all(keyed, block, k, size))
+    return found

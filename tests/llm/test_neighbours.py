@@ -45,6 +45,31 @@ def test_a_crowd_of_copies_is_exact(spark, monkeypatch):
     assert got == brute(np.arange(300), vectors.astype(float), 10, 10)
 
 
+def test_every_query_has_its_rows(spark):
+    rng = np.random.default_rng(2)
+    # A crowd, far vectors alone, and tiny tight groups.
+    far = 100 * rng.standard_normal((200, 8))
+    groups = 100 * rng.standard_normal((50, 1, 8)) + 1e-3 * rng.standard_normal((50, 3, 8))
+    vectors = np.vstack([rng.standard_normal((2000, 8)), far, groups.reshape(-1, 8)])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors.astype(np.float32))]
+    got = found(neighbours.nearest(spark.createDataFrame(rows, SCHEMA), every=2))
+    assert {q: len(got.get(q, [])) for q in range(0, len(rows), 2)} == {q: 10 for q in range(0, len(rows), 2)}
+
+
+def test_an_id_of_many_vectors_leaves_room_for_others(spark):
+    rng = np.random.default_rng(3)
+    ids = np.r_[0:100, np.full(60, 101)]
+    vectors = np.vstack([rng.standard_normal((100, 4)) * 10, 1e-2 * rng.standard_normal((60, 4))])
+    vectors[0] = 0.01
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, vectors.astype(np.float32))]
+    got = found(neighbours.nearest(spark.createDataFrame(rows, SCHEMA), every=100))
+    near = {}
+    for i, v in zip(ids.tolist(), vectors.astype(np.float32).astype(float)):
+        if i:
+            near[i] = min(near.get(i, np.inf), float(np.sqrt(((v - vectors[0].astype(np.float32)) ** 2).sum())))
+    assert [j for _, j in got[0]] == sorted(near, key=near.get)[:10]
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (0, [1.0, 0.0], 1), (1, None, 1), (2, [0.0, 0.0], 1), (3, [None, 1.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (None, [1.0, 1.0], 1), (6, [1.0, -0.0], 1), (7, [2.0, 0.0], 1), (100, [1.0], 1), (8, [], 1)]
