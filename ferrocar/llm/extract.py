@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score one each, tags less than not
 tag stands outside the content of labelled pages than inside, the less. The contiguous run with the
 greatest sum, found in one linear scan, is the content region. Elements that say themselves that they
 are no content (menus, headers, footers, adverts, forms, comments, scripts and so on) score nothing and
-give no text, so they neither pull the region to them nor tear it apart.
+give no text, so they neither pull the region to them nor tear it apart. An element is content all the same
+if it is or holds the page's outermost article or main element, or most words of a page without.
 
 Labelled pages are those that mark their content with one article or main element; tags are counted
 over all of them.
@@ -39,6 +40,9 @@ NAMES = set(
     "login signup register search disclaimer copyright skip".split()
 )
 HEADERS = {"header", "topbar"}
+# Parts of a class that tell of another element, as in with-sidebar, and elements and roles that may stand around content.
+ABOUT = set("with without has have no is show hide".split())
+AROUND = {"form", "fieldset", "dialog"}
 CONTENT = {"article", "main"}
 # What a tag scores: no less than WORST, no more than BEST. Tags counted by name; others are together.
 WORST, BEST = -1.0, -0.02
@@ -50,9 +54,9 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|$)", re.I) for name in RAW}
 
 
-def _named(attributes: str) -> tuple[set[str], bool]:
-    """The words of an element's class, id and role, and whether it is no content by its role or hidden."""
-    words, out = set(), False
+def _named(attributes: str) -> tuple[set[str], set[str], bool]:
+    """The words of an element's class and id, these as a whole, and whether it is no content by its role or hidden."""
+    words, whole, out = set(), set(), False
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         if name.lower() == "role":
@@ -62,14 +66,37 @@ def _named(attributes: str) -> tuple[set[str], bool]:
         elif name.lower() == "aria-hidden":
             out |= value == "true"
         else:
-            words.update(_WORDS.split(value))
-    return words, out
+            for part in value.split():
+                split = _WORDS.split(part)
+                whole.add(part)
+                words.add(part)
+                if ABOUT.isdisjoint(split):
+                    words.update(split)
+    return words, whole, out
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """(kind, value, dropped, inside) of a page: kind is text or tag, inside tells of a content element."""
+    doubtful: dict[int, list] = {}
+    items = list(_walk(page, doubtful, set()))
+    marked = doubtful.pop(-1, None) is not None
+    if doubtful:
+        total = sum(len(value.split()) for kind, value, dropped, _ in items if kind == "text" and not dropped)
+        kept = {i for i, (holds, words) in doubtful.items() if holds or (not marked and 2 * words > total)}
+        return _walk(page, None, kept)
+    return iter(items)
+
+
+def _walk(page: str, doubtful: dict[int, list] | None, kept: set[int]) -> Iterator[tuple[str, str, bool, bool]]:
+    """The tokens of a page, where elements of ``kept``, by their places, are not dropped.
+
+    With ``doubtful``, elements outside of content that only their names tell to be none are not dropped, but noted
+    there: whether they hold a content element, and how many words. Place -1 is noted if the page has such an element.
+    """
     stack: list[tuple[str, bool]] = []
-    dropped = content = at = 0
+    dropped = content = at = words_seen = 0
+    # Places of noted elements that are open, with the depth of the stack and the words before them.
+    noted: list[tuple[int, int, int]] = []
 
     def close(name: str) -> None:
         nonlocal dropped, content
@@ -77,6 +104,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             top, out = stack.pop()
             dropped -= out
             content -= top in CONTENT
+            while noted and noted[-1][1] > len(stack):
+                place, _, before = noted.pop()
+                doubtful[place][1] = words_seen - before
             if top == name:
                 return
 
@@ -84,8 +114,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
         found = _TOKEN.search(page, at)
         start = found.start() if found else len(page)
         if start > at:
-            yield "text", unescape(page[at:start]), dropped > 0, content > 0
+            text = unescape(page[at:start])
+            if doubtful is not None and not dropped:
+                words_seen += len(text.split())
+            yield "text", text, dropped > 0, content > 0
         if not found:
+            for place, _, before in noted:
+                doubtful[place][1] = words_seen - before
             return
         at = found.end()
         end, name, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
@@ -106,12 +141,26 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             # Whatever the head left open ends here.
             while stack:
                 close(stack[-1][0])
-        words, out = _named(attributes) if attributes.strip() else (set(), False)
+        words, whole, out = _named(attributes) if attributes.strip() else (set(), set(), False)
         if name not in ("html", "body", "main"):
-            out |= not words.isdisjoint(NAMES) or name in DROPPED
-            out |= content == 0 and (name in HEADERS or not words.isdisjoint(HEADERS))
+            out |= name in DROPPED - AROUND
+            soft = not words.isdisjoint(NAMES) or name in AROUND
+            soft |= content == 0 and (name in HEADERS or not words.isdisjoint(HEADERS))
         else:
-            out = False
+            out = soft = False
+        if name in CONTENT and content == 0 and not out and (not soft or whole.isdisjoint(NAMES)):
+            # The element is content, and so are those around it.
+            soft = False
+            if doubtful is not None and not dropped:
+                doubtful[-1] = [True, 0]
+                for place, _, _ in noted:
+                    doubtful[place][0] = True
+        if soft and not out and content == 0 and doubtful is not None:
+            if name not in VOID:
+                doubtful[found.start()] = [False, 0]
+                noted.append((found.start(), len(stack) + 1, words_seen))
+        elif found.start() not in kept:
+            out |= soft
         yield "tag", name, dropped > 0 or out, content > 0
         if name in RAW and not attributes.rstrip().endswith("/"):
             last = _END[name].search(page, at)
@@ -120,6 +169,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             stack.append((name, out))
             dropped += out
             content += name in CONTENT
+    for place, _, before in noted:
+        doubtful[place][1] = words_seen - before
 
 
 def region(items: list[tuple[str, str, bool, bool]], weights: dict[str, float]) -> tuple[int, int]:

@@ -55,6 +55,20 @@ def test_pages(page, text):
     assert extract.main_text(page, EVEN) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="layout with-sidebar"><article><p>words of it</p></article></div>',
+        '<div class="sidebar layout"><article><p>words of it</p></article></div>',
+        '<article class="post related-on"><p>words of it</p></article>',
+        '<form id=f><div class=menu>menu</div><main><p>words of it</p></main></form>',
+        '<form><div class="social"><p>words of it</p></div><div class=ad>buy</div></form>',
+    ],
+)
+def test_wrappers_of_content_are_kept(page):
+    assert extract.main_text(f"<body>{page}<div class=share>share</div></body>", EVEN) == "words of it"
+
+
 def test_a_run_of_links_is_cut_off():
     links = "".join(f"<div><a>l{i}</a></div>" for i in range(30))
     assert extract.main_text(f"{links}<p>{'word ' * 50}</p>{links}", EVEN | {"a": -1, "div": -1}) == ("word " * 50).strip()
