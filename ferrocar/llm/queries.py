@@ -6,7 +6,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrocar.llm import chat, common, decontaminate, extract, neighbours, quality, sentencepiece, simhash, tokenfile, toxicity, warc
+from ferrocar.llm import (
+    chat,
+    common,
+    decontaminate,
+    extract,
+    merkle,
+    neighbours,
+    quality,
+    sentencepiece,
+    simhash,
+    tokenfile,
+    toxicity,
+    warc,
+)
 from ferrocar.session import apply_settings
 
 # Where the public tokenizers' files lie; the same on every machine.
@@ -142,3 +155,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-copies of every document."""
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its tampered leaf still folds to the root."""
+    rows = merkle.manifest(common.table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source")
