@@ -16,6 +16,7 @@ from ferrocar.llm import (
     quality,
     sentencepiece,
     simhash,
+    spelling,
     tokenfile,
     toxicity,
     warc,
@@ -162,3 +163,9 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether its tampered leaf still folds to the root."""
     rows = merkle.manifest(common.table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "source")
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.variants(common.table(spark, sf_dir, "documents"))
