@@ -11,6 +11,7 @@ from ferrocar.llm import (
     common,
     decontaminate,
     extract,
+    jaccard,
     merkle,
     neighbours,
     quality,
@@ -169,3 +170,9 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, forms and roots."""
     return spelling.variants(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and group of near-copies by 5-word shingles of every document."""
+    return jaccard.near_duplicates(common.table(spark, sf_dir, "documents"))
