@@ -109,3 +109,44 @@ def test_lookup_join_broadcasts_by_size_only(spark):
         assert "SortMergeJoin" in plan() and "BroadcastHashJoin" not in plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_plan_closes_over_the_levels():
+    assert impute.plan(impute.MEAN_FILLED) == {"overall"}
+    assert impute.plan(["power_mode"]) == {"power_mode_fill"}
+    assert impute.plan(["month"]) == {"day_model", "day_brand", "month_model", "month_brand"}
+    assert impute.plan(["fill_source"]) == {"cons_model", "cons_brand", "overall"}
+    assert impute.plan(None) == set(impute.NEEDS)
+
+
+@pytest.mark.parametrize(
+    "columns, groups",
+    [
+        (impute.MEAN_FILLED, []),
+        (["power_mode", "transmission"], ["listing-cells", "fills"]),
+        ([impute.CONSUMPTION, "fill_source"], ["listing-cells", "models", "fills"]),
+        (["price_chf", "month"], ["listing-cells", "models", "brands", "months", "fills"]),
+    ],
+)
+def test_only_asked_levels_are_learnt_and_equal_the_full_plan(spark, monkeypatch, columns, groups):
+    rows = typed(spark, make_rows(11))
+    full = {r.id: r for r in impute.impute(rows).collect()}
+    staged = []
+    real = impute.stage
+
+    def counting(df, label):
+        staged.append(label)
+        return real(df, label)
+
+    monkeypatch.setattr(impute, "stage", counting)
+    part = impute.impute(rows, columns=columns)
+    got = {r.id: r for r in part.collect()}
+    monkeypatch.setattr(impute, "stage", real)
+    # Cells are staged by listing_cells through the module's stage too.
+    assert sorted(staged) == sorted(groups)
+    original = {r.id: r for r in rows.collect()}
+    for i, r in got.items():
+        for c in columns:
+            assert r[c] == full[i][c], (c, i)
+        for c in set(impute.OUTPUTS) - set(columns) - {"fill_source"}:
+            assert r[c] == original[i][c], (c, i)

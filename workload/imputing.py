@@ -51,13 +51,14 @@ imputed AS (SELECT c6.* EXCLUDE (production_date), CAST(DATE '1970-01-01' + CAST
 KEY = ", ".join(P.KEY)
 
 
-def imputed(spark, d):
-    return impute.impute(impute.type_listings(P.sparse_listings(spark, d), P.NEW_VEHICLE_MONTH))
+def imputed(spark, d, columns=None):
+    """Listings with the gaps of ``columns`` filled; only the levels that they need are learnt."""
+    return impute.impute(impute.type_listings(P.sparse_listings(spark, d), P.NEW_VEHICLE_MONTH), columns=columns)
 
 
 @query("x2_mean_imputation", f"WITH {STAGED_SQL} SELECT {KEY}, price_chf, mileage, engine_power_hp FROM imputed")
 def mean_imputation(spark, d):
-    return imputed(spark, d).select(*P.KEY, "price_chf", "mileage", "engine_power_hp")
+    return imputed(spark, d, impute.MEAN_FILLED).select(*P.KEY, "price_chf", "mileage", "engine_power_hp")
 
 
 @query(
@@ -65,22 +66,22 @@ def mean_imputation(spark, d):
     f"WITH {STAGED_SQL} SELECT {KEY}, consumption_l_per_100km, fill_source FROM imputed",
 )
 def consumption_levels(spark, d):
-    return imputed(spark, d).select(*P.KEY, "consumption_l_per_100km", "fill_source")
+    return imputed(spark, d, [impute.CONSUMPTION, "fill_source"]).select(*P.KEY, "consumption_l_per_100km", "fill_source")
 
 
 @query("x5_categorical_levels", f"WITH {STAGED_SQL} SELECT {KEY}, power_mode, transmission FROM imputed")
 def categorical_levels(spark, d):
-    return imputed(spark, d).select(*P.KEY, "power_mode", "transmission")
+    return imputed(spark, d, ["power_mode", "transmission"]).select(*P.KEY, "power_mode", "transmission")
 
 
 @query("x6_date_levels", f"WITH {STAGED_SQL} SELECT {KEY}, production_date, {ym_sql()} FROM imputed")
 def date_levels(spark, d):
-    return imputed(spark, d).select(*P.KEY, "production_date", ym())
+    return imputed(spark, d, ["production_date", "month"]).select(*P.KEY, "production_date", ym())
 
 
 @query("g22_fill_audit", f"WITH {STAGED_SQL} SELECT fill_source, count(*) AS n FROM imputed GROUP BY 1")
 def fill_audit(spark, d):
-    return impute.fill_audit(imputed(spark, d))
+    return impute.fill_audit(imputed(spark, d, ["fill_source"]))
 
 
 def typed(spark, d):
@@ -94,7 +95,7 @@ pairs AS (SELECT DISTINCT brand, model FROM typed)
 SELECT brand, model, {r6_sql('mm', 'model_mean')}, {r6_sql('bm', 'brand_mean')} FROM pairs LEFT JOIN model_mean USING (model) LEFT JOIN brand_mean USING (brand)""",
 )
 def consumption_means(spark, d):
-    out = impute.learn_fills(typed(spark, d)).pairs
+    out = impute.learn_fills(typed(spark, d), impute.plan([impute.CONSUMPTION]) - {"overall"}).pairs
     return out.select("brand", "model", r6("cons_model", "model_mean"), r6("cons_brand", "brand_mean"))
 
 
@@ -103,7 +104,7 @@ def consumption_means(spark, d):
     f"WITH {STAGED_SQL} SELECT model, pm_fill AS power_mode, tr_fill AS transmission FROM pm JOIN tr USING (model)",
 )
 def model_modes(spark, d):
-    pairs = impute.learn_fills(typed(spark, d)).pairs.where(F.col("model").isNotNull())
+    pairs = impute.learn_fills(typed(spark, d), impute.plan(["power_mode", "transmission"])).pairs.where(F.col("model").isNotNull())
     return pairs.select("model", F.col("power_mode_fill").alias("power_mode"), F.col("transmission_fill").alias("transmission")).distinct()
 
 
@@ -116,7 +117,7 @@ FROM pairs LEFT JOIN model_date USING (model) LEFT JOIN brand_date USING (brand)
   LEFT JOIN brand_month_fill USING (brand)""",
 )
 def date_fills(spark, d):
-    out = impute.learn_fills(typed(spark, d)).pairs
+    out = impute.learn_fills(typed(spark, d), impute.plan(["production_date", "month"])).pairs
     return out.select(
         "brand", "model", F.col("day_model").alias("model_day"), F.col("day_brand").alias("brand_day"),
         ym("month_model", "model_month"), ym("month_brand", "brand_month"),
@@ -156,6 +157,6 @@ r AS (SELECT brand, instrument, {pearson_sql('price_chf_mean', 'quote')} AS r, c
 @query("x9_imputed_brand_sensitivity", f"WITH {IMPUTED_R_SQL} SELECT brand, instrument, {r6_sql('r', 'r')}, n FROM r")
 def imputed_brand_sensitivity(spark, d):
     """The whole path: dirty listings, imputation, panel, coverage, correlation."""
-    rows = panel.mean_panel(imputed(spark, d), ["brand", "month"])
+    rows = panel.mean_panel(imputed(spark, d, ["price_chf", "month"]), ["brand", "month"])
     out = brand_sensitivity.correlations(rows, P.quotes(spark, d), P.INSTRUMENTS, P.START)
     return out.select("brand", "instrument", r6("r", "r"), "n")
