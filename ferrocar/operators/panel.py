@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrocar.functions import numeric
-from ferrocar.operators.quantile import count_values, exact_quantiles
+from ferrocar.operators.quantile import count_values, radix_quantiles
 
 PRICE = "price_chf"
 BRAND_MEASURES = ["mileage", "engine_power_hp", "consumption_l_per_100km"]
@@ -26,7 +26,7 @@ def price_panel(listings: DataFrame, keys: Sequence[str], measures: Sequence[str
     for m in measures:
         carried += [F.sum(m).alias(f"_s_{m}"), F.count(m).alias(f"_c_{m}")]
     counts = count_values(listings, keys, PRICE, carried)
-    medians = exact_quantiles(listings, keys, PRICE, [0.5], ["median_price"], counts=counts)
+    medians = radix_quantiles(counts, keys, PRICE, [0.5], ["median_price"])
     n_priced = F.sum(F.when(F.col(PRICE).isNotNull(), F.col("n")).otherwise(0))
     base = counts.groupBy(*keys).agg(
         F.try_divide(F.sum(F.col(PRICE) * F.col("n")), n_priced).alias("mean_price"),
@@ -124,6 +124,6 @@ def mean_price_by_brand(panel: DataFrame) -> DataFrame:
 
 def price_trim(listings: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows between two price quantiles, both bounds included."""
-    bounds = exact_quantiles(listings, [], PRICE, [low, high], ["lower", "upper"])
+    bounds = radix_quantiles(count_values(listings, [], PRICE), [], PRICE, [low, high], ["lower", "upper"])
     both = bounds.select(F.struct("lower", "upper")).scalar()
     return listings.where(F.col(PRICE).between(both["lower"], both["upper"]))

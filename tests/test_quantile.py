@@ -21,9 +21,13 @@ def brute(rows):
     return out
 
 
-def compare(spark, rows):
+def radix(df, keys, value, probs, names):
+    return quantile.radix_quantiles(quantile.count_values(df, keys, value), keys, value, probs, names)
+
+
+def compare(spark, rows, select=exact_quantiles):
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: [r[n] for n in NAMES] for r in exact_quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
+    got = {r["k"]: [r[n] for n in NAMES] for r in select(df, ["k"], "v", PROBS, NAMES).collect()}
     expected = brute(rows)
     assert got.keys() == expected.keys()
     for k in got:
@@ -76,3 +80,35 @@ def test_panel_counts_priced_and_all_rows(spark):
     df = spark.createDataFrame(rows, "k string, price_chf double, km double")
     got = price_panel(df, ["k"], ["km"]).collect()
     assert [tuple(r) for r in got] == [("a", 2.0, 2, 3, 6.0, 2.0)]
+
+
+def test_radix_against_numpy_with_a_hot_group_and_an_outlier(spark):
+    compare(spark, hot_rows(), radix)
+
+
+def test_radix_on_raw_rows_extreme_values_and_ties(spark):
+    rows = [("a", v) for v in (0.0, -0.0, 5e-324, -5e-324, 1e300, -1e300, 0.1, 0.1, 0.1, 2.0)] + [("b", 7.0)] * 5
+    df = spark.createDataFrame(rows, "k string, v double").withColumn("n", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1))
+    got = {r["k"]: [r[n] for n in NAMES] for r in quantile.radix_quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
+    expected = brute(rows)
+    assert got.keys() == expected.keys()
+    for k in got:
+        assert got[k] == pytest.approx(list(expected[k]), rel=1e-12, abs=1e-300)
+
+
+def test_radix_stages_no_sorted_copy(spark, monkeypatch):
+    staged = []
+
+    def keep(df, label):
+        staged.append(label)
+        return stage(df, label)
+
+    monkeypatch.setattr(quantile, "stage", keep)
+    compare(spark, hot_rows(), radix)
+    assert "sorted-counts" not in staged and staged.count("value-counts") == 1
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
+def test_radix_selection_property(spark, rows):
+    compare(spark, rows, radix)
