@@ -78,3 +78,17 @@ def test_planted_variants_small_blocks_and_odd_rows(spark, odd_documents, monkey
 
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], DOCS)) == []
+
+
+def test_search_equals_brute_force_on_words():
+    import random
+
+    rng = random.Random(7)
+    letters = "abcdeé"
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.choice((5, 6)))) for _ in range(3000)})
+    index = [w for w in words if len(w) == 6]
+    probes = words
+    a, b = spelling.search(index, probes, chunk=97)
+    got = set(zip(a, b))
+    expected = {(min(p, w), max(p, w)) for p in probes for w in index if spelling.near(p, w)}
+    assert got == expected and len(a) == len(got)
