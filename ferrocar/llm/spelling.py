@@ -221,7 +221,10 @@ def pairs(vocabulary: DataFrame) -> DataFrame:
         found_a, found_b = search([w for w, i in zip(words, marked) if i], [w for w, i in zip(words, marked) if not i])
         return pd.DataFrame({"a": pd.Series(found_a, dtype=object), "b": pd.Series(found_b, dtype=object)})
 
-    return cell.groupBy("len", "c0", "c1", "bi", "bp").applyInPandas(run, "a string, b string")
+    # Dealt by all five keys: the join above leaves the rows hashed by the first three, which the
+    # grouping would keep, putting every block pair of a large key in one task.
+    keys = ["len", "c0", "c1", "bi", "bp"]
+    return cell.repartition(*keys).groupBy(*keys).applyInPandas(run, "a string, b string")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
