@@ -12,6 +12,7 @@ import re
 import string
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ RANK = 64
 NEAR = 0.45
 # Shares of an item that a text must hold in order: alone, or together with its answer.
 ALONE, WITH_ANSWER, ANSWER = 0.75, 0.55, 0.8
+# Words of 64 bits in which passages and items mark their words.
+MARKS = 4
 # At most so many items are searched for at a time.
 ITEMS = 1_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
@@ -51,13 +54,12 @@ class Benchmark:
                 self.seqs.append([w for s in sentences for w in s])
                 self.answers.append(sentences[-1])
 
-    def number(self, token: str) -> int:
-        return self.index.get(word(token), -1)
-
-    def sequence(self, text: str | None, memo: common.Memo) -> np.ndarray:
-        """A text's words as numbers, -1 for words of no item; marks without letters are skipped."""
-        tokens = (text or "").split()
-        return np.fromiter(map(memo.__getitem__, tokens), np.int32, len(tokens))
+    def sequence(self, text: str | None) -> np.ndarray:
+        """A text's words as numbers, -1 for words of no item and for marks without letters."""
+        # White space ends whatever lower() looks at around a letter, so tokens come out as from ``word``.
+        tokens = (text or "").lower().split()
+        words = map(str.strip, tokens, repeat(string.punctuation))
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(tokens))
 
 
 def passages(seqs: list[np.ndarray], width: int) -> tuple[Rows, np.ndarray, np.ndarray]:
@@ -110,6 +112,11 @@ class Index:
         # Of any text that holds an item, one passage holds a stride of it at least.
         whole = np.array([len(s) for s in bench.seqs])
         self.least = WITH_ANSWER * self.bag.sum(axis=1) * np.minimum(1, STRIDE / whole)
+        self.wants, self.held = [np.array(s) for s in bench.seqs], np.zeros(len(bench.index), bool)
+        # Each word's bit among 64 * MARKS, and all bits of each item.
+        at = np.arange(len(bench.index)) % (64 * MARKS)
+        self.bits = np.where(at[:, None] // 64 == np.arange(MARKS), np.uint64(1) << (at % 64).astype(np.uint64)[:, None], np.uint64(0))
+        self.marks = np.bitwise_or.reduceat(self.bits[rows.cols], rows.start[:-1]) if len(rows) else np.zeros((0, MARKS), np.uint64)
 
     def search(self, seqs: list[np.ndarray]) -> list[dict[int, tuple[float, float, float]]]:
         """For each sequence the items that it holds, each with cosine, common share and answer's share."""
@@ -120,7 +127,16 @@ class Index:
             cosines = near[at : at + 4096] @ self.items.T
             where, item = np.nonzero(cosines >= NEAR)
             cosine, where = cosines[where, item], where + at
-            # A passage that holds too few of the item's words cannot be part of a match.
+            # A passage that holds too few of the item's words cannot be part of a match. It shares at most the bits
+            # that both have, and one word more for each that another word of the passage has set already.
+            lo, hi = rows.start[at], rows.start[min(at + 4096, len(near))]
+            marks = np.bitwise_or.reduceat(self.bits[rows.cols[lo:hi]], rows.start[at : at + 4096][: len(cosines)] - lo)
+            spare = np.diff(rows.start[at : at + len(cosines) + 1]) - np.bitwise_count(marks).sum(axis=1, dtype=np.int64)
+            most = spare[where - at]
+            for k in range(MARKS):
+                most += np.bitwise_count(marks[where - at, k] & self.marks[item, k])
+            some = np.flatnonzero(most >= self.least[item])
+            where, item, cosine = where[some], item[some], cosine[some]
             size = np.diff(rows.start)[where]
             first = np.repeat(rows.start[where], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             shared = np.bincount(np.repeat(np.arange(len(where)), size), self.bag[np.repeat(item, size), rows.cols[first]], len(where))
@@ -137,9 +153,16 @@ class Index:
         text = seq[max(0, place - len(want)) : place + WINDOW + len(want)]
         text = text[text >= 0]
         # Other items' words cannot be in the common subsequence.
-        text = text[self.bag[item, text]].tolist()
+        text = text[self.bag[item][text]]
         if len(text) < WITH_ANSWER * len(want):
             return None
+        # Nor more of the item than the words that the text holds at all.
+        self.held[text] = True
+        held = np.count_nonzero(self.held[self.wants[item]])
+        self.held[text] = False
+        if held < WITH_ANSWER * len(want):
+            return None
+        text = text.tolist()
         share = common_length(want, text) / len(want)
         if share < WITH_ANSWER:
             return None
@@ -187,9 +210,8 @@ def sequences(docs: DataFrame, bench: Benchmark, text: str, key: str) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(bench)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = common.Memo(shared.value.number)
         for batch in batches:
-            seqs = pa.array([shared.value.sequence(t, memo).tobytes() for t in batch.column(1).to_pylist()], pa.binary())
+            seqs = pa.array([shared.value.sequence(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), seqs], ["doc_id", "seq"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string"))
@@ -283,9 +305,8 @@ def holds(index: Index, docs: DataFrame, text: str = "text") -> Column:
     @F.arrow_udf("boolean")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bench = shared.value.bench
-        memo = common.Memo(bench.number)
         for part in parts:
-            yield pa.array([bool(x) for x in shared.value.search([bench.sequence(t, memo) for t in part.to_pylist()])], pa.bool_())
+            yield pa.array([bool(x) for x in shared.value.search([bench.sequence(t) for t in part.to_pylist()])], pa.bool_())
 
     return run(F.col(text).cast("string"))
 

@@ -1,6 +1,8 @@
 import random
 
-from ferrocar.llm import decontaminate
+import numpy as np
+
+from ferrocar.llm import decontaminate, sparse
 from tests.conftest import SMALL
 from tests.llm.conftest import DOCS
 
@@ -72,6 +74,57 @@ def test_common_length_matches_brute_force():
         assert decontaminate.common_length(a, b) == table[-1][-1]
 
 
+def test_subsequences_are_counted_only_where_enough_of_the_items_words_occur(monkeypatch):
+    calls, count = [], decontaminate.common_length
+    monkeypatch.setattr(decontaminate, "common_length", lambda *a: calls.append(a) or count(*a))
+    words = [f"w{i}" for i in range(30)]
+    bench = decontaminate.Benchmark([(7, " ".join(words))])
+    index = decontaminate.Index(bench, np.ones(30, np.float32), np.eye(30, dtype=np.float32))
+    # Ten words of the item, each three times: near, and long enough, but not the item.
+    assert index.search([bench.sequence(" ".join(words[:10] * 3))]) == [{}] and not calls
+    # The item among other words, and out of order.
+    found = index.search([bench.sequence(" ".join(["x"] * 50 + words + ["x"] * 9)), bench.sequence(" ".join(reversed(words)))])
+    assert [set(f) for f in found] == [{0}, set()] and calls
+
+
+def test_marks_lose_no_passage_that_shares_enough_words(monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    bench = decontaminate.Benchmark([(i, " ".join(rng.choices(words, k=rng.randint(3, 60)))) for i in range(60)])
+    width = len(bench.index)
+    index = decontaminate.Index(bench, np.ones(width, np.float32), np.eye(width, dtype=np.float32))
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(40)] + ["", "none of them"]
+    for i in range(30):
+        texts[i] += " " + " ".join(list(bench.index)[w] for w in bench.seqs[i])
+    seqs = [bench.sequence(t) for t in texts]
+    found = index.search(seqs)
+    assert sum(i in f for i, f in enumerate(found[:30])) > 20
+    monkeypatch.setattr(index, "marks", np.full_like(index.marks, ~np.uint64(0)))
+    assert index.search(seqs) == found
+
+
+def test_sequences_are_words_token_by_token():
+    letters = ["A", "Σ", "σ", "İ", "ß", "'", "-", ".", "\u0301", "Z", " ", "\n", "\x1c", "\x85", "\u2003", "é"]
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(letters, k=40)) for _ in range(300)]
+    bench = decontaminate.Benchmark([(i, t) for i, t in enumerate(texts[:150])])
+    for t in texts:
+        assert bench.sequence(t).tolist() == [bench.index.get(decontaminate.word(w), -1) for w in t.split()]
+
+
+def test_products_go_through_small_pieces_and_match_dense_ones(monkeypatch):
+    rng = np.random.default_rng(2)
+    matrix = rng.random((50, 40)).astype(np.float32) * (rng.random((50, 40)) < 0.3)
+    matrix[3] = matrix[49] = 0
+    rows = sparse.Rows.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in matrix], 40)
+    dense = rng.random((40, 7)).astype(np.float32)
+    for piece in (1, 100, 1 << 17):
+        monkeypatch.setattr(sparse, "PIECE", piece)
+        assert np.allclose(rows.dot(dense), matrix @ dense, atol=1e-5)
+        assert np.allclose(rows.transposed().dot(rows.dot(dense)), matrix.T @ matrix @ dense, rtol=1e-4)
+    assert sparse.Rows.of([], 40).dot(dense).shape == (0, 7)
+
+
 def test_odd_rows_and_empty_tables(spark, odd_documents):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "!!"), (None, "one two three four five"), (4, "one two three four five")], ITEMS)
     found = {(r.doc_id, r.item_id) for r in decontaminate.matches(odd_documents, items).collect()}
