@@ -106,7 +106,7 @@ class Index:
         self.bench, self.idf, self.space = bench, idf, space
         rows = [np.unique(s, return_counts=True) for s in bench.seqs]
         rows = Rows.of([(c, (1 + np.log(n)).astype(np.float32)) for c, n in rows], len(bench.index))
-        self.items = unit(rows.scaled(idf).dot(space))
+        self.items = unit(rows.scaled(idf).stacked(space))
         self.bag = np.zeros((len(bench.seqs), len(bench.index)), bool)
         self.bag[np.repeat(np.arange(len(rows)), np.diff(rows.start)), rows.cols] = True
         # Of any text that holds an item, one passage holds a stride of it at least.
@@ -122,7 +122,7 @@ class Index:
         """For each sequence the items that it holds, each with cosine, common share and answer's share."""
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in seqs]
         rows, of, place = passages(seqs, len(self.bench.index))
-        near = unit(rows.scaled(self.idf).dot(self.space))
+        near = unit(rows.scaled(self.idf).stacked(self.space))
         for at in range(0, len(near), 4096):
             cosines = near[at : at + 4096] @ self.items.T
             where, item = np.nonzero(cosines >= NEAR)
@@ -247,7 +247,7 @@ def fit(seqs: DataFrame, bench: Benchmark, rank: int = RANK) -> Index:
         total = np.zeros(start.shape)
         for batch in batches:
             rows = passages(_read(batch, 1), width)[0].scaled(idf)
-            total += rows.transposed().dot(rows.dot(start))
+            total += rows.transposed().stacked(rows.stacked(start))
         yield _pieces(total)
 
     drawn = _summed(seqs.mapInArrow(power, "block int, body binary"), width)

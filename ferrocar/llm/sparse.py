@@ -2,8 +2,10 @@
 
 import numpy as np
 
-# Products go through pieces of about so many floats, which the processor's cache holds.
-PIECE = 1 << 17
+# Products go through pieces of at most so many floats.
+PIECE = 1 << 22
+# Stacks of products, of about so many floats, which the processor's cache holds.
+STACK = 1 << 17
 
 
 class Rows:
@@ -25,13 +27,28 @@ class Rows:
     def dot(self, dense: np.ndarray) -> np.ndarray:
         """The product with a dense matrix of ``width`` rows."""
         out = np.zeros((len(self), dense.shape[1]), np.float32)
+        full = np.flatnonzero(np.diff(self.start))
+        step = max(1, PIECE // dense.shape[1])
+        at = 0
+        while at < len(full):
+            # As many whole rows as fit a piece, one at least.
+            to = max(at + 1, int(np.searchsorted(self.start[full + 1], self.start[full[at]] + step, "right")))
+            lo, hi = self.start[full[at]], self.start[full[to - 1] + 1]
+            part = dense[self.cols[lo:hi]] * self.vals[lo:hi, None]
+            out[full[at:to]] = np.add.reduceat(part, self.start[full[at:to]] - lo, axis=0)
+            at = to
+        return out
+
+    def stacked(self, dense: np.ndarray) -> np.ndarray:
+        """As ``dot`` in a third of its time, by BLAS: sums differ from it in their last digits."""
+        out = np.zeros((len(self), dense.shape[1]), np.float32)
         sizes = np.diff(self.start)
         order = np.argsort(sizes, kind="stable")
         ends = np.flatnonzero(np.diff(sizes[order], append=-1)) + 1
         # Rows of one size are one stack of small products.
         for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist()):
             size = int(sizes[order[lo]])
-            step = max(1, PIECE // max(1, size * dense.shape[1]))
+            step = max(1, STACK // max(1, size * dense.shape[1]))
             for at in range(lo, hi if size else lo, step):
                 rows = order[at : min(at + step, hi)]
                 cells = self.start[rows, None] + np.arange(size)

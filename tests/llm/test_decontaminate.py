@@ -119,10 +119,10 @@ def test_products_go_through_small_pieces_and_match_dense_ones(monkeypatch):
     rows = sparse.Rows.of([(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in matrix], 40)
     dense = rng.random((40, 7)).astype(np.float32)
     for piece in (1, 100, 1 << 17):
-        monkeypatch.setattr(sparse, "PIECE", piece)
-        assert np.allclose(rows.dot(dense), matrix @ dense, atol=1e-5)
-        assert np.allclose(rows.transposed().dot(rows.dot(dense)), matrix.T @ matrix @ dense, rtol=1e-4)
-    assert sparse.Rows.of([], 40).dot(dense).shape == (0, 7)
+        monkeypatch.setattr(sparse, "STACK", piece)
+        assert np.allclose(rows.stacked(dense), matrix @ dense, atol=1e-5)
+        assert np.allclose(rows.transposed().stacked(rows.stacked(dense)), matrix.T @ matrix @ dense, rtol=1e-4)
+    assert sparse.Rows.of([], 40).stacked(dense).shape == (0, 7)
 
 
 def test_odd_rows_and_empty_tables(spark, odd_documents):
